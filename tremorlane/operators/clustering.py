@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -73,8 +74,8 @@ def fit_clusters(
     recomputation of a lost part can change them, and the same points and
     `partitions` give the same clusters.
     """
-    rows = df.select(*features).limit(max(k, 2)).count()
-    k = max(1, min(k, rows))
+    # As many rows as clusters are enough to know whether k must shrink.
+    k = max(1, min(k, len(df.select(F.lit(1)).take(k))))
     if k == 1:  # KMeans itself wants at least two
         return ClusterModel(None, [], [], [0])
 
@@ -88,9 +89,21 @@ def fit_clusters(
         .sortWithinPartitions(*features)
     )
     kmeans = KMeans(
-        k=k, seed=seed, featuresCol="_scaled", predictionCol="_nearest", weightCol="_weight"
+        k=k,
+        seed=seed,
+        featuresCol="_scaled",
+        predictionCol="_nearest",
+        weightCol="_weight",
+        solver="row",
     )
-    model = kmeans.fit(scaler.transform(points).select("_scaled", "_weight"))
+    # MLlib keeps the scaled vectors in memory itself, but reads its input three
+    # times (layout, first pass, cluster sizes): those reads come from local
+    # disk, not from another scan and shuffle.
+    points.persist(StorageLevel.DISK_ONLY)
+    try:
+        model = kmeans.fit(scaler.transform(points).select("_scaled", "_weight"))
+    finally:
+        points.unpersist()
 
     centers = [center.tolist() for center in model.clusterCenters()]
     order = sorted(range(len(centers)), key=centers.__getitem__)
@@ -102,6 +115,9 @@ def fit_clusters(
     )
 
 
-def cluster_events(df: DataFrame, k: int = CLUSTERS, seed: int = SEED) -> DataFrame:
+def cluster_events(
+    df: DataFrame, k: int = CLUSTERS, seed: int = SEED, partitions: int | None = None
+) -> DataFrame:
     """Cleaned, enriched events as the clustered table; empty in, empty out."""
-    return fit_clusters(df, k, seed).label(df).select(*CLUSTERED_COLUMNS)
+    model = fit_clusters(df, k, seed, partitions=partitions)
+    return model.label(df).select(*CLUSTERED_COLUMNS)

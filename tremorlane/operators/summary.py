@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tremorlane.functions import SEVERITY_LABELS
@@ -47,50 +48,34 @@ def magnitude_histogram(
 ) -> DataFrame:
     """Equal-width bins from the least to the greatest value, the last one closed.
 
-    One aggregate finds the range, a second pass counts. Edge i is
-    lowest + i * width and the last edge the greatest value itself, to the
-    last bit as numpy.histogram places them; equal values get a range of one
-    around them. No rows in, no rows out; an infinite value is an error.
+    One aggregate brings the two ends of the range to the driver, a second
+    pass counts. The edges are, to the last bit, those of numpy.histogram:
+    lowest + i * width, and the greatest value itself at the end; equal values
+    get a range of one around them. No rows in, no rows out.
     """
     values = df.select(F.col(value).alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    least, greatest = F.min("v"), F.max("v")
-    infinity = F.lit(float("inf"))
-    margin = F.when(least == greatest, F.lit(0.5)).otherwise(F.lit(0.0))
-    span = values.agg(
-        F.when(
-            (least == -infinity) | (greatest == infinity),
-            F.raise_error(F.lit(f"histogram of infinite values in {value}")),
-        )
-        .otherwise(F.struct((least - margin).alias("lo"), (greatest + margin).alias("hi")))
-        .alias("span")
-    ).scalar()
-
-    def edge(position: Column) -> Column:
-        width = (F.col("span.hi") - F.col("span.lo")) / F.lit(float(bins))
-        return F.when(position == bins, F.col("span.hi")).otherwise(
-            F.col("span.lo") + position * width
-        )
-
-    # The quotient may be off by one next to an edge; comparing with the two
-    # edges around it settles that.
-    share = (F.col("v") - F.col("span.lo")) / (F.col("span.hi") - F.col("span.lo"))
-    guess = F.least(F.floor(share * bins), F.lit(bins - 1))
-    below = F.col("v") < edge(F.col("guess"))
-    above = (F.col("guess") < bins - 1) & (F.col("v") >= edge(F.col("guess") + 1))
+    least, greatest = values.agg(F.min("v"), F.max("v")).first()
+    if least is None:
+        return df.sparkSession.createDataFrame([], "bin INT, lo DOUBLE, hi DOUBLE, n BIGINT")
+    if math.isinf(least) or math.isinf(greatest):
+        raise ValueError(f"histogram of infinite values in {value}")
+    if least == greatest:
+        least, greatest = least - 0.5, greatest + 0.5
+    width = (greatest - least) / bins
+    edges = [least + i * width for i in range(bins)] + [greatest]
+
+    # A value's bin is the number of inner edges it has reached.
+    reached = [(F.col("v") >= F.lit(edge)).cast("int") for edge in edges[1:-1]]
     counts = (
-        values.withColumn("span", span)
-        .withColumn("guess", guess)
-        .select(
-            (F.col("guess") + above.cast("int") - below.cast("int")).cast("int").alias("bin")
-        )
+        values.select(sum(reached, F.lit(0)).alias("bin"))
         .groupBy("bin")
         .agg(F.count("*").alias("n"))
     )
+    ends = F.array(*map(F.lit, edges))
     domain = (
         df.sparkSession.range(0, bins, 1, 1)
-        .select(F.col("id").cast("int").alias("bin"), span.alias("span"))
-        .where(F.col("span.lo").isNotNull())
-        .select("bin", edge(F.col("bin")).alias("lo"), edge(F.col("bin") + 1).alias("hi"))
+        .select(F.col("id").cast("int").alias("bin"))
+        .select("bin", F.get(ends, "bin").alias("lo"), F.get(ends, F.col("bin") + 1).alias("hi"))
     )
     return _counts_over(domain, counts, "bin").orderBy("bin")
 

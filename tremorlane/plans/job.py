@@ -24,6 +24,7 @@ from tremorlane.operators import (
     require_id,
     severity_counts,
 )
+from tremorlane.operators.clustering import CLUSTERS, SEED
 from tremorlane.schemas import CLUSTERED
 from tremorlane.sinks import write_csv, write_json_lines, write_parquet
 from tremorlane.sources import explode_pages, read_enriched, read_pages
@@ -78,6 +79,9 @@ def run_job(
     default_provider: str,
     monitor: bool = False,
     one_document_per_file: bool = False,
+    k: int = CLUSTERS,
+    seed: int = SEED,
+    fit_partitions: int | None = None,
 ) -> JobResult:
     """Run all stages on the pages under `pages`, each a table under `out`.
 
@@ -104,7 +108,8 @@ def run_job(
         queries.append(start_monitor(stream, f"{run}/checkpoint/monitor"))
     run_to_end(*queries)
 
-    write_parquet(cluster_events(clean_events(read_enriched(spark, enriched))), clustered)
+    clean = clean_events(read_enriched(spark, enriched))
+    write_parquet(cluster_events(clean, k, seed, fit_partitions), clustered)
     labelled = read_enriched(spark, clustered, CLUSTERED)
     write_csv(labelled, clustered_csv)
 
