@@ -1,0 +1,88 @@
+from __future__ import annotations
+
+import csv
+import json
+from pathlib import Path
+
+from tremorlane.schemas import CLUSTERED, FLAT
+from tremorlane.sinks import write_csv, write_json_lines
+from tremorlane.sources import read_csv, read_enriched, read_events
+
+TEXTS = [
+    "plain",
+    'inner "quotes"',
+    '"',
+    "comma, semicolon; tab\t",
+    "line\nbreak",
+    "carriage\r\nreturn",
+    "  blanks around  ",
+    "back\\slash",
+    "back\\",
+    'both\\"',
+    "Çanakkale – İzmir",
+    "NA",
+    "#comment",
+]
+
+
+def clustered(spark):
+    rows = [
+        (f"e{i}", text, text, 1.5, -0.1, 1e-7, 1e22, text, "MINOR", "2026", i)
+        for i, text in enumerate(TEXTS)
+    ]
+    rows.append((None, None, "", None, None, None, None, None, None, None, None))
+    return spark.createDataFrame(rows, CLUSTERED)
+
+
+def test_csv_round_trip_keeps_texts(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    write_csv(clustered(spark).repartition(3), path, rows_per_file=4)
+    expected = [tuple(row) for row in clustered(spark).collect()]
+    expected[-1] = (None,) * 11  # the empty string and the missing one are the same in CSV
+    result = [tuple(row) for row in read_csv(spark, path).collect()]
+    assert sorted(result, key=str) == sorted(expected, key=str)
+    assert len(list(Path(path).glob("*.csv"))) >= 4
+
+
+def test_csv_is_what_other_readers_expect(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    write_csv(clustered(spark).coalesce(1), path)
+    with open(next(Path(path).glob("*.csv")), newline="", encoding="utf-8") as file:
+        rows = list(csv.DictReader(file))
+    assert list(rows[0]) == clustered(spark).columns
+    assert [row["title"] for row in rows[:-1]] == TEXTS
+
+
+def test_overwrite_and_append(spark, tmp_path):
+    write_csv(clustered(spark), str(tmp_path / "csv"))
+    write_csv(clustered(spark), str(tmp_path / "csv"))
+    assert read_csv(spark, str(tmp_path / "csv")).count() == len(TEXTS) + 1
+    flat = spark.createDataFrame([("a",) + (None,) * 8], FLAT)
+    write_json_lines(flat, str(tmp_path / "json"))
+    write_json_lines(flat, str(tmp_path / "json"))
+    assert read_events(spark, str(tmp_path / "json")).count() == 2
+
+
+def test_json_lines(spark, tmp_path):
+    rows = [(f"e{i}", "p", text, 1.5, None, 0.1, 2e300, text, "") for i, text in enumerate(TEXTS)]
+    df = spark.createDataFrame(rows, FLAT)
+    write_json_lines(df, str(tmp_path / "json"))
+    assert sorted(read_events(spark, str(tmp_path / "json")).collect()) == sorted(df.collect())
+    written = [
+        line
+        for file in (tmp_path / "json").glob("*.json")
+        for line in file.read_text(encoding="utf-8").splitlines()
+    ]
+    assert len(written) == len(TEXTS)
+    assert all(set(json.loads(line)) == set(df.columns) for line in written)
+    assert any("Çanakkale – İzmir" in line for line in written)
+
+
+def test_missing_and_empty_inputs_are_empty_tables(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    for folder in ("absent", "empty"):
+        path = str(tmp_path / folder)
+        for read in (read_events, read_enriched, read_csv):
+            df = read(spark, path)
+            assert df.count() == 0
+            assert "magnitude" in df.columns

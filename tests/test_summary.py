@@ -1,0 +1,108 @@
+from __future__ import annotations
+
+import math
+import random
+
+import numpy as np
+import pytest
+
+from tremorlane.operators import (
+    cluster_sizes,
+    magnitude_histogram,
+    map_points,
+    row_count,
+    severity_counts,
+)
+
+
+def magnitudes(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "magnitude DOUBLE")
+
+
+def random_values(seed: int) -> list[float]:
+    rng = random.Random(seed)
+    kind = seed % 4
+    if kind == 0:  # one decimal, so that values meet edges
+        return [rng.randrange(0, 60) / 10 for _ in range(400)]
+    if kind == 1:
+        return [rng.expovariate(1.0) for _ in range(400)]
+    if kind == 2:  # negative, wide range
+        return [rng.gauss(0, 1e6) for _ in range(400)]
+    return [0.1 * rng.randrange(1, 8) * 3 for _ in range(50)]
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_histogram_equals_numpy(spark, seed):
+    values = random_values(seed)
+    counts, edges = np.histogram(values, bins=20)
+    rows = magnitude_histogram(magnitudes(spark, values).repartition(3)).collect()
+    assert [row.bin for row in rows] == list(range(20))
+    assert [row.n for row in rows] == counts.tolist()
+    assert [row.lo for row in rows] == edges[:-1].tolist()
+    assert [row.hi for row in rows] == edges[1:].tolist()
+    assert sum(row.n for row in rows) == len(values)
+
+
+@pytest.mark.parametrize("bins", [1, 3, 50])
+def test_other_numbers_of_bins(spark, bins):
+    values = random_values(0)
+    counts, _ = np.histogram(values, bins=bins)
+    rows = magnitude_histogram(magnitudes(spark, values), bins=bins).collect()
+    assert [row.n for row in rows] == counts.tolist()
+
+
+def test_histogram_of_tenths(spark):
+    values = [i / 10 for i in range(41)]
+    counts, _ = np.histogram(values, bins=20)
+    assert [row.n for row in magnitude_histogram(magnitudes(spark, values)).collect()] == (
+        counts.tolist()
+    )
+
+
+def test_histogram_of_equal_values(spark):
+    counts, edges = np.histogram([2.5] * 3, bins=20)
+    rows = magnitude_histogram(magnitudes(spark, [2.5] * 3)).collect()
+    assert [row.n for row in rows] == counts.tolist()
+    assert rows[0].lo == edges[0] and rows[-1].hi == edges[-1]
+
+
+def test_histogram_edge_cases(spark):
+    empty = magnitude_histogram(magnitudes(spark, []))
+    assert empty.count() == 0
+    assert empty.columns == ["bin", "lo", "hi", "n"]
+    with_gaps = magnitude_histogram(magnitudes(spark, [1.0, None, math.nan, 2.0])).collect()
+    assert sum(row.n for row in with_gaps) == 2
+    with pytest.raises(ValueError, match="infinite"):
+        magnitude_histogram(magnitudes(spark, [1.0, math.inf]))
+
+
+def test_severity_counts_fill_the_domain(spark):
+    labels = ["STRONG", "MINOR", "MINOR", "OTHER", None]
+    df = spark.createDataFrame([(label,) for label in labels], "severity STRING")
+    assert [tuple(row) for row in severity_counts(df).collect()] == [
+        ("MINOR", 2),
+        ("LIGHT", 0),
+        ("MODERATE", 0),
+        ("STRONG", 1),
+        ("MAJOR", 0),
+    ]
+    assert [row.n for row in severity_counts(df.limit(0)).collect()] == [0] * 5
+
+
+def test_counts(spark):
+    df = spark.createDataFrame([(2,), (0,), (2,)], "cluster INT")
+    assert [tuple(row) for row in cluster_sizes(df).collect()] == [(0, 1), (2, 2)]
+    assert row_count(df).first().n == 3
+    assert row_count(df.limit(0)).first().n == 0
+
+
+def test_map_points(spark):
+    rows = [(40.0, 30.0, 3.0, 1), (40.0, 31.0, -1.0, 2), (50.0, 30.0, 1.0, 3)]
+    df = spark.createDataFrame(
+        rows, "latitude DOUBLE, longitude DOUBLE, magnitude DOUBLE, cluster INT"
+    )
+    assert sorted(tuple(row) for row in map_points(df).collect()) == [
+        (30.0, 40.0, 1, 118.0),
+        (31.0, 40.0, 2, 10.0),
+    ]
+    assert map_points(df.drop("cluster")).columns == ["longitude", "latitude", "marker_size"]

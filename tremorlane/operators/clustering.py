@@ -18,6 +18,7 @@ from tremorlane.schemas import CLUSTERED_COLUMNS
 
 CLUSTERS = 5
 SEED = 42
+COPIES_PER_PART = 100_000
 
 
 @dataclass(frozen=True)
@@ -57,22 +58,44 @@ def standardize(df: DataFrame, features: Sequence[str] = KEY_COLUMNS) -> DataFra
     )
 
 
+def _laid_out(df: DataFrame, features: Sequence[str], partitions: int) -> DataFrame:
+    """The points of `df` with their number of copies, in an order of their own.
+
+    Rows are counted per point before the shuffle, and a point with many
+    copies is split into parts of bounded size that go to different tasks. The
+    result depends on the points alone: neither on how `df` is laid out nor on
+    whether a lost part had to be computed again.
+    """
+    part = F.explode(F.sequence(F.lit(0), F.floor((F.col("_rows") - 1) / COPIES_PER_PART)))
+    copies = F.least(F.lit(COPIES_PER_PART), F.col("_rows") - F.col("_part") * COPIES_PER_PART)
+    return (
+        df.groupBy(*features)
+        .agg(F.count("*").alias("_rows"))
+        .select("*", part.alias("_part"))
+        .select(*features, "_part", copies.cast("int").alias("_copies"))
+        .repartition(partitions, *features, "_part")
+        .sortWithinPartitions(*features, "_part")
+    )
+
+
 def fit_clusters(
     df: DataFrame,
     k: int = CLUSTERS,
     seed: int = SEED,
     features: Sequence[str] = KEY_COLUMNS,
     partitions: int | None = None,
+    merge_copies: bool = False,
 ) -> ClusterModel:
     """Fit KMeans with at most as many clusters as there are rows.
 
-    KMeans runs on the distinct points, weighted by how often each occurs:
-    the same objective as on all rows, with less data held in memory, and no
-    task is left with all copies of one frequent point. The points are laid
-    out by their own values in `partitions` sorted parts (default: the
-    session's shuffle partitions). Neither the layout of the input nor the
-    recomputation of a lost part can change them, and the same points and
-    `partitions` give the same clusters.
+    MLlib's clusters depend on how rows are spread over its partitions, so
+    they are spread by their own values over `partitions` parts (default: the
+    session's shuffle partitions). The same rows and number of parts always
+    give the same clusters.
+
+    `merge_copies` fits on the distinct points, each weighted by its copies.
+    The objective is the same and the data smaller, but MLlib's choice of
+    first centres ignores weights and may end in a poorer optimum.
     """
     # As many rows as clusters are enough to know whether k must shrink.
     k = max(1, min(k, len(df.select(F.lit(1)).take(k))))
@@ -82,26 +105,18 @@ def fit_clusters(
     scaler = fit_scaler(df, features)
     if partitions is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    points = (
-        df.groupBy(*features)
-        .agg(F.count("*").cast("double").alias("_weight"))
-        .repartition(partitions, *features)
-        .sortWithinPartitions(*features)
-    )
-    kmeans = KMeans(
-        k=k,
-        seed=seed,
-        featuresCol="_scaled",
-        predictionCol="_nearest",
-        weightCol="_weight",
-        solver="row",
-    )
-    # MLlib keeps the scaled vectors in memory itself, but reads its input three
-    # times (layout, first pass, cluster sizes): those reads come from local
-    # disk, not from another scan and shuffle.
-    points.persist(StorageLevel.DISK_ONLY)
+    # MLlib keeps the vectors it works on, but reads its input three times
+    # (layout, first pass, cluster sizes): those reads come from local disk,
+    # not from another scan and shuffle.
+    points = _laid_out(df, features, partitions).persist(StorageLevel.DISK_ONLY)
+    kmeans = KMeans(k=k, seed=seed, featuresCol="_scaled", predictionCol="_nearest", solver="row")
     try:
-        model = kmeans.fit(scaler.transform(points).select("_scaled", "_weight"))
+        if merge_copies:
+            kmeans = kmeans.setWeightCol("_copies")
+            model = kmeans.fit(scaler.transform(points).select("_scaled", "_copies"))
+        else:
+            copy = F.explode(F.array_repeat(F.lit(True), F.col("_copies")))
+            model = kmeans.fit(scaler.transform(points).select("_scaled", copy).select("_scaled"))
     finally:
         points.unpersist()
 
@@ -110,7 +125,7 @@ def fit_clusters(
     return ClusterModel(
         stages=PipelineModel(stages=[*scaler.stages, model]),
         centers=[centers[i] for i in order],
-        scales=scaler.stages[-1].std.tolist(),
+        scales=scaler.stages[-1].std.toArray().tolist(),
         ranks=[order.index(i) for i in range(len(centers))],
     )
 
