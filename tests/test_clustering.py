@@ -56,7 +56,7 @@ def test_all_rows_get_the_nearest_centre(spark):
     rows = model.label(df).select(*FEATURES, "cluster").toPandas()
     assert len(rows) == 2000
     scaled = rows[FEATURES].to_numpy() / rows[FEATURES].std(ddof=1).to_numpy()
-    assert np.allclose(model.scales, rows[FEATURES].std(ddof=1).to_numpy())
+    assert np.allclose(list(model.factors.values()), 1 / rows[FEATURES].std(ddof=1).to_numpy())
     distances = ((scaled[:, None, :] - np.array(model.centers)[None]) ** 2).sum(axis=2)
     chosen = distances[np.arange(len(rows)), rows["cluster"]]
     assert (chosen <= distances.min(axis=1) + 1e-9).all()
@@ -64,7 +64,8 @@ def test_all_rows_get_the_nearest_centre(spark):
     assert model.centers == sorted(model.centers)
 
 
-def test_labels_do_not_depend_on_the_layout_of_the_input(spark):
+def test_labels_do_not_depend_on_the_layout_of_the_input(spark, monkeypatch):
+    monkeypatch.setattr(clustering, "ROWS_PER_PART", 500)
     df = events(spark, random_points(3000, seed=5))
     layouts = [
         df.repartition(8),

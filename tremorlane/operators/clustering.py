@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -18,6 +19,7 @@ from tremorlane.schemas import CLUSTERED_COLUMNS
 
 CLUSTERS = 5
 SEED = 42
+ROWS_PER_PART = 10_000
 COPIES_PER_PART = 100_000
 
 
@@ -25,20 +27,18 @@ COPIES_PER_PART = 100_000
 class ClusterModel:
     """A fitted model whose cluster numbers follow the order of its centres."""
 
-    stages: PipelineModel | None
+    kmeans: KMeansModel | None
     centers: list[list[float]]
-    scales: list[float]
+    factors: dict[str, float]
     ranks: list[int]
 
     def label(self, df: DataFrame) -> DataFrame:
         """`df` with a `cluster` column."""
-        if self.stages is None:
+        if self.kmeans is None:
             return df.withColumn("cluster", F.lit(0))
         ranks = F.array(*map(F.lit, self.ranks))
-        return (
-            self.stages.transform(df)
-            .withColumn("cluster", F.get(ranks, F.col("_nearest")))
-            .select(*df.columns, "cluster")
+        return self.kmeans.transform(_scaled(df, self.factors)).select(
+            *df.columns, F.get(ranks, F.col("_nearest")).alias("cluster")
         )
 
 
@@ -58,6 +58,13 @@ def standardize(df: DataFrame, features: Sequence[str] = KEY_COLUMNS) -> DataFra
     )
 
 
+def _scaled(df: DataFrame, factors: dict[str, float]) -> DataFrame:
+    """`df` with a vector `_scaled` of its features times their factors."""
+    scaled = {f"_{name}": F.col(name) * F.lit(factor) for name, factor in factors.items()}
+    assembler = VectorAssembler(inputCols=list(scaled), outputCol="_scaled")
+    return assembler.transform(df.withColumns(scaled))
+
+
 def _laid_out(df: DataFrame, features: Sequence[str], partitions: int) -> DataFrame:
     """The points of `df` with their number of copies, in an order of their own.
 
@@ -88,23 +95,28 @@ def fit_clusters(
 ) -> ClusterModel:
     """Fit KMeans with at most as many clusters as there are rows.
 
-    MLlib's clusters depend on how rows are spread over its partitions, so
-    they are spread by their own values over `partitions` parts (default: the
-    session's shuffle partitions). The same rows and number of parts always
-    give the same clusters.
+    Features are scaled as `standardize` does, from a single aggregate that
+    also counts the rows. MLlib's clusters depend on how rows are spread over
+    its partitions, so they are spread by their own values over `partitions`
+    parts; by default as many as the session uses for shuffles, fewer for few
+    rows. The same rows and number of parts always give the same clusters.
 
     `merge_copies` fits on the distinct points, each weighted by its copies.
     The objective is the same and the data smaller, but MLlib's choice of
     first centres ignores weights and may end in a poorer optimum.
     """
-    # As many rows as clusters are enough to know whether k must shrink.
-    k = max(1, min(k, len(df.select(F.lit(1)).take(k))))
+    rows, *deviations = df.agg(F.count("*"), *map(F.stddev_samp, features)).first()
+    k = max(1, min(k, rows))
     if k == 1:  # KMeans itself wants at least two
-        return ClusterModel(None, [], [], [0])
-
-    scaler = fit_scaler(df, features)
+        return ClusterModel(None, [], {}, [0])
+    # A feature that never varies says nothing about clusters.
+    factors = {
+        name: 1 / deviation if deviation else 0.0
+        for name, deviation in zip(features, deviations, strict=True)
+    }
     if partitions is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = min(most, math.ceil(rows / ROWS_PER_PART))
     # MLlib keeps the vectors it works on, but reads its input three times
     # (layout, first pass, cluster sizes): those reads come from local disk,
     # not from another scan and shuffle.
@@ -113,19 +125,19 @@ def fit_clusters(
     try:
         if merge_copies:
             kmeans = kmeans.setWeightCol("_copies")
-            model = kmeans.fit(scaler.transform(points).select("_scaled", "_copies"))
+            model = kmeans.fit(_scaled(points, factors).select("_scaled", "_copies"))
         else:
             copy = F.explode(F.array_repeat(F.lit(True), F.col("_copies")))
-            model = kmeans.fit(scaler.transform(points).select("_scaled", copy).select("_scaled"))
+            model = kmeans.fit(_scaled(points, factors).select("_scaled", copy).select("_scaled"))
     finally:
         points.unpersist()
 
     centers = [center.tolist() for center in model.clusterCenters()]
     order = sorted(range(len(centers)), key=centers.__getitem__)
     return ClusterModel(
-        stages=PipelineModel(stages=[*scaler.stages, model]),
+        kmeans=model,
         centers=[centers[i] for i in order],
-        scales=scaler.stages[-1].std.toArray().tolist(),
+        factors=factors,
         ranks=[order.index(i) for i in range(len(centers))],
     )
 

@@ -224,8 +224,10 @@ def cluster_check(spark: SparkSession, sf_dir: str) -> DataFrame:
             reduce(
                 lambda left, right: left + right,
                 (
-                    F.pow(F.col(name) / F.lit(scale) - F.lit(position), F.lit(2.0))
-                    for name, scale, position in zip(KEY_COLUMNS, model.scales, center, strict=True)
+                    F.pow(F.col(name) * F.lit(factor) - F.lit(position), F.lit(2.0))
+                    for (name, factor), position in zip(
+                        model.factors.items(), center, strict=True
+                    )
                 ),
             )
             for center in model.centers
