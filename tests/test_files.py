@@ -78,6 +78,11 @@ def test_json_lines(spark, tmp_path):
     assert any("Çanakkale – İzmir" in line for line in written)
 
 
+def test_csv_of_an_empty_table(spark, tmp_path):
+    write_csv(clustered(spark).limit(0), str(tmp_path / "csv"))
+    assert read_csv(spark, str(tmp_path / "csv")).count() == 0
+
+
 def test_missing_and_empty_inputs_are_empty_tables(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     for folder in ("absent", "empty"):

@@ -50,6 +50,23 @@ def test_sound_events_survive_a_bad_element(spark, lines):
     assert flat(spark, folder)["b"].latitude == 40.2
 
 
+def test_an_odd_field_costs_only_itself(spark, lines):
+    odd = [
+        event("geojson", geojson="x"),
+        event("place", location_properties=[1]),
+        event("mag", mag={"value": 1}),
+        event("coordinates", geojson={"coordinates": "x"}),
+        event("date", date_time=5),
+    ]
+    rows = flat(spark, lines([{"result": [event("a"), *odd, event("b")]}]))
+    assert set(rows) == {"a", "b", "geojson", "place", "mag", "coordinates", "date"}
+    for name in ("geojson", "coordinates"):
+        assert (rows[name].latitude, rows[name].magnitude) == (0.0, 3.4)
+    assert (rows["place"].region, rows["place"].latitude) == ("", 40.2)
+    assert (rows["mag"].magnitude, rows["mag"].region) == (None, "Epi")
+    assert rows["b"].title == "t"
+
+
 def test_one_document_per_file(spark, tmp_path):
     for poll, feed, name in ((0, "live", "a"), (0, "archive", "b"), (1, "live", "c")):
         folder = tmp_path / f"poll={poll}" / f"feed={feed}"

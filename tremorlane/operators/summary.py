@@ -64,13 +64,11 @@ def magnitude_histogram(
     width = (greatest - least) / bins
     edges = [least + i * width for i in range(bins)] + [greatest]
 
-    # A value's bin is the number of inner edges it has reached.
-    reached = [(F.col("v") >= F.lit(edge)).cast("int") for edge in edges[1:-1]]
-    counts = (
-        values.select(sum(reached, F.lit(0)).alias("bin"))
-        .groupBy("bin")
-        .agg(F.count("*").alias("n"))
-    )
+    # A value's bin is that of the highest edge it has reached.
+    position = F.when(F.col("v") >= F.lit(edges[bins - 1]), F.lit(bins - 1))
+    for i in range(bins - 2, -1, -1):
+        position = position.when(F.col("v") >= F.lit(edges[i]), F.lit(i))
+    counts = values.select(position.alias("bin")).groupBy("bin").agg(F.count("*").alias("n"))
     ends = F.array(*map(F.lit, edges))
     domain = (
         df.sparkSession.range(0, bins, 1, 1)
