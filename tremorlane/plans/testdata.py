@@ -96,8 +96,9 @@ def land_pages(
 ) -> None:
     """Write the polls as response pages, in poll=<n>/feed=<name> folders.
 
-    The events are read once; each appears in every poll that saw it. Pages
-    are filled by row position, so no page exceeds its size whatever the keys.
+    The events are read and shuffled once, by page, before each is repeated
+    for every poll that saw it. Pages are filled by row position, so no page
+    exceeds its size whatever the keys.
     """
     seen_by = ", ".join(
         f"case when {condition} then named_struct('poll', {poll}, 'feed', '{feed}') end"
@@ -107,6 +108,7 @@ def land_pages(
     (
         events_table(spark, sf_dir)
         .withColumn("page", F.floor(row / EVENTS_PER_PAGE))
+        .repartition("page")
         .withColumn("seen_by", F.explode(F.expr(f"array_compact(array({seen_by}))")))
         .select("*", "seen_by.poll", "seen_by.feed")
         .select(
