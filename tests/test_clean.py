@@ -53,6 +53,15 @@ def test_null_tests_reach_the_parquet_scan(spark, tmp_path):
     assert "id:string" not in pushed[pushed.index("ReadSchema") :]
 
 
+def test_time_windows_reach_the_parquet_scan(spark, tmp_path):
+    timed(spark).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    for window in (live_window, archive_window):
+        plan = window(stored, datetime(2026, 6, 9, 12))._jdf.queryExecution().executedPlan()
+        pushed = plan.toString()[plan.toString().index("PushedFilters") :]
+        assert "GreaterThan" in pushed and "LessThan" in pushed and "event_ts" in pushed
+
+
 def test_require_id(spark):
     df = spark.createDataFrame([("a",), ("",), (None,), (" ",)], "earthquake_id STRING")
     assert ids(require_id(df), "earthquake_id") == [" ", "a"]

@@ -6,7 +6,7 @@ from pathlib import Path
 from tests.test_pages import event
 from tremorlane.plans import job
 from tremorlane.schemas import CLUSTERED_COLUMNS
-from tremorlane.sources import read_csv
+from tremorlane.sources import explode_pages, read_csv, read_pages
 
 
 def land(root: Path, poll: int, feed: str, events: list) -> None:
@@ -49,6 +49,17 @@ def test_job(spark, tmp_path):
     assert spark.read.parquet(result.enriched).count() == 61  # with the bad magnitude
 
 
+def test_selections_read_their_own_folders_only(spark, tmp_path):
+    land(tmp_path, 0, "live", numbered(0, 20))
+    land(tmp_path, 0, "archive", numbered(0, 20))
+    land(tmp_path, 1, "live", numbered(0, 20))
+    raw = explode_pages(read_pages(spark, str(tmp_path)))
+    admitted = job.admitted_events(raw)  # twenty live events close the gate
+    assert {row.feed for row in admitted.collect()} == {"live"}
+    plan = admitted._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(coalesce(feed" in plan
+
+
 def test_a_second_run_starts_afresh(spark, tmp_path):
     pages, out = tmp_path / "pages", str(tmp_path / "out")
     land(pages, 0, "live", numbered(0, 20))

@@ -28,7 +28,15 @@ from tremorlane.operators.clustering import CLUSTERS, SEED
 from tremorlane.schemas import CLUSTERED
 from tremorlane.sinks import write_csv, write_json_lines, write_parquet
 from tremorlane.sources import explode_pages, read_enriched, read_pages
-from tremorlane.streaming import read_event_stream, run_to_end, start_monitor, start_parquet
+from tremorlane.streaming import (
+    dedup_stream,
+    read_event_stream,
+    run_for,
+    run_to_end,
+    start_monitor,
+    start_parquet,
+)
+from tremorlane.streaming.queries import TRIGGER_SECONDS
 
 log = logging.getLogger(__name__)
 
@@ -129,6 +137,31 @@ def run_job(
     return JobResult(rows, landing, enriched, clustered, clustered_csv, reports)
 
 
+def run_live(
+    spark: SparkSession,
+    landing: str,
+    out: str,
+    checkpoint: str,
+    *,
+    seconds: float | None = None,
+    every_seconds: float = TRIGGER_SECONDS,
+    files_per_batch: int | None = 1,
+    dedup: bool = False,
+) -> None:
+    """Ingest the JSON-lines files that arrive under `landing`, showing each batch.
+
+    Runs for `seconds`, or until stopped; a later run with the same
+    `checkpoint` goes on where this one ended.
+    """
+    events = read_event_stream(spark, landing, files_per_batch=files_per_batch)
+    stream = enrich(dedup_stream(require_id(events)) if dedup else events)
+    run_for(
+        start_parquet(stream, out, f"{checkpoint}/parquet", every_seconds),
+        start_monitor(stream, f"{checkpoint}/monitor", every_seconds),
+        seconds=seconds,
+    )
+
+
 def main(arguments: list[str] | None = None) -> int:
     """Entry point for spark-submit; non-zero where nothing could be clustered."""
     parser = argparse.ArgumentParser(description=__doc__)
