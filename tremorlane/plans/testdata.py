@@ -104,10 +104,9 @@ def land_pages(
         f"case when {condition} then named_struct('poll', {poll}, 'feed', '{feed}') end"
         for poll, feed, condition in polls
     )
-    row = F.monotonically_increasing_id()
     (
         events_table(spark, sf_dir)
-        .withColumn("page", F.floor(row / EVENTS_PER_PAGE))
+        .withColumn("page", F.expr(f"monotonically_increasing_id() div {EVENTS_PER_PAGE}"))
         .repartition("page")
         .withColumn("seen_by", F.explode(F.expr(f"array_compact(array({seen_by}))")))
         .select("*", "seen_by.poll", "seen_by.feed")
