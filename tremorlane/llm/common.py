@@ -63,3 +63,21 @@ def map_slices(
             yield function(piece)
 
     return df.mapInArrow(run, schema)
+
+
+class Remembered(dict):
+    """Results by key, of which the last `limit` to twice as many are kept."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.older = limit, {}
+
+    def absent(self, keys: set) -> list:
+        """Those of `keys` that have to be worked out, sorted; the others are at hand now."""
+        if len(self) + len(keys) > self.limit:
+            self.older = dict(self)
+            self.clear()
+        missing = keys.difference(self)
+        found = missing & self.older.keys()
+        self.update((key, self.older[key]) for key in found)
+        return sorted(missing - found)

@@ -2,7 +2,89 @@
 
 from __future__ import annotations
 
+from tremorlane.llm.url_filter import SOFT, SOFT_HITS, STRICT
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _lower(column: str) -> str:
+    return f"translate({column}, '{_UPPER}', '{_LOWER}')"
+
+
+def _term(terms: str) -> str:
+    return f"regexp_matches(plain, '(^|[^a-z0-9])({terms})([^a-z0-9]|$)')"
+
+
+_URLS = f"""
+with rests as (
+  select page_id, {_lower("coalesce(url, '')")} as plain,
+         case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest
+  from pages
+),
+parts as (
+  select page_id, plain,
+         {_lower("regexp_extract(rest, '^[^/?#]*')")} as host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+  from rests
+),
+ruled as (
+  select *,
+         case when (host = 'example.net' or ends_with(host, '.example.net'))
+                   and starts_with(path, '/en/') then 'example.net/en/'
+              when (host = 'example.com' or ends_with(host, '.example.com'))
+                   and starts_with(path, '/de/') then 'example.com/de/'
+              when (host = 'org' or ends_with(host, '.org')) and starts_with(path, '/fr/')
+                   then 'org/fr/'
+              when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/') then 'net/'
+         end as rule,
+         {_term("|".join(STRICT))}
+           or {" + ".join(f"{_term(term)}::int" for term in SOFT)} >= {SOFT_HITS} as bad
+  from parts
+)
+select page_id, host, path, rule,
+       case when rule in ('net/', 'example.com/de/') then 'block'
+            when rule is not null then 'allow'
+            when bad then 'block' else 'allow' end as verdict
+from ruled"""
+
+_WORDS = f"regexp_extract_all({_lower('text')}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+
+_CONTAMINATION = f"""
+with docs as (select doc_id, coalesce({_WORDS}, []) as ws from documents),
+items as (select item_id, coalesce({_WORDS}, []) as ws from benchmark),
+patterns as (
+  select distinct item_id, least(len(ws), 10) as k,
+         unnest(list_transform(range(1, greatest(len(ws) - 10, 0) + 2),
+                               lambda i: array_to_string(ws[i:i + 9], ' '))) as gram
+  from items where len(ws) > 0
+),
+grams as (
+  select doc_id, k, unnest(range(1, len(ws) - k + 2)) as i, ws
+  from docs, (select distinct k from patterns) where len(ws) >= k
+),
+found as (
+  select g.doc_id, g.i, g.k, p.item_id
+  from (select doc_id, k, i, array_to_string(ws[i:i + k - 1], ' ') as gram from grams) g
+  join patterns p on p.gram = g.gram and p.k = g.k
+),
+hit as (
+  select doc_id, count(*) as n_hit
+  from (select distinct doc_id, unnest(range(i, i + k)) as w from found) group by doc_id
+),
+listed as (
+  select doc_id, count(*) as n_items,
+         sha256(string_agg(item_id::varchar, ',' order by item_id::varchar)) as items_sha256
+  from (select distinct doc_id, item_id from found) group by doc_id
+)
+select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+       coalesce(n_items, 0)::bigint as n_items,
+       coalesce(items_sha256, sha256('')) as items_sha256,
+       coalesce(n_hit, 0) > 0 as contaminated
+from docs left join hit using (doc_id) left join listed using (doc_id)"""
+
 ORACLES: dict[str, str] = {
+    "op5_url_filter": _URLS,
+    "op6_decontamination": _CONTAMINATION,
     "op10_exact_dedup": r"""
 with texts as (
   select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t

@@ -5,13 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tremorlane.llm.byte_bpe import bpe_digests
+from tremorlane.llm.decontaminate import contamination_digest
 from tremorlane.llm.exact_dedup import exact_copies
 from tremorlane.llm.simhash import simhash_components
+from tremorlane.llm.token_counts import token_counts
+from tremorlane.llm.url_filter import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
+
 
 def importable(spark: SparkSession) -> None:
     """Let Python workers find this package where it is not installed but on a shared path."""
@@ -31,11 +39,33 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path(BYTE_RANKS)
+    return bpe_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages")).drop("strict_terms", "soft_terms")
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = table(spark, sf_dir, "benchmark")
+    return contamination_digest(table(spark, sf_dir, "documents"), benchmark)
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
     "op1_simhash_dedup": op1_simhash_dedup,
+    "op4_byte_bpe": op4_byte_bpe,
+    "op5_url_filter": op5_url_filter,
+    "op6_decontamination": op6_decontamination,
+    "op7_token_counts": op7_token_counts,
     "op10_exact_dedup": op10_exact_dedup,
 }
