@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -28,6 +29,11 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def file_uri(path: str) -> str:
+    """A path as the URI that pyarrow's file systems are found by."""
+    return path if re.match(r"[a-z][a-z0-9+.-]*:", path) else f"file://{path}"
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     """The session's number of shuffle partitions, for a layout AQE must not merge."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -81,3 +87,18 @@ class Remembered(dict):
         found = missing & self.older.keys()
         self.update((key, self.older[key]) for key in found)
         return sorted(missing - found)
+
+
+def filter_texts(df: DataFrame, keep: Callable[[list[bytes]], list[bool]]) -> DataFrame:
+    """The rows of `df` whose whole text passes `keep`; all columns stay as they are.
+
+    `keep` gets the UTF-8 bytes of a slice's texts, null as empty. Nothing is
+    shuffled, so rows need no key.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches, "text"):
+            texts = piece.column("text").cast(pa.binary()).to_pylist()
+            yield piece.filter(pa.array(keep([text or b"" for text in texts]), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

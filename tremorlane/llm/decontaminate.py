@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -13,7 +13,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremorlane.llm.common import slices, staged, utf8
+from tremorlane.llm.common import filter_texts, slices, staged, utf8
 
 WINDOW = 10
 #: Windows of so many bytes go into one automaton, which takes some 50 bytes for each.
@@ -141,6 +141,25 @@ def _scan(state: DataFrame, block: Broadcast, window: int, last: bool) -> DataFr
     return state.mapInArrow(run, _RESULT_DDL if last else _STATE_DDL)
 
 
+def _blocks(benchmark: DataFrame, window: int, most: int) -> Iterator[Callable[[], Broadcast]]:
+    """The benchmark in parts of some `most` bytes of windows, each brought over when called."""
+    context = benchmark.sparkSession.sparkContext
+    items = benchmark.select(
+        F.col("item_id").cast("string").alias("item_id"), utf8("text").alias("text")
+    )
+    size = items.agg(F.sum(F.octet_length("text") * window)).first()[0] or 0
+    count = 1 if size <= most else -(-2 * size // most)
+    dealt = items.withColumn("block", F.expr(f"pmod(xxhash64(item_id, text), {count})"))
+    for number in range(count):
+        part = dealt.where(F.col("block") == number).select("item_id", "text")
+
+        def collect(part=part):
+            rows = tuple((row["item_id"], bytes(row["text"])) for row in part.collect())
+            return context.broadcast(rows)
+
+        yield collect
+
+
 def contamination(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most: int = PATTERN_BYTES
 ) -> DataFrame:
@@ -160,22 +179,16 @@ def contamination(
     texts are scanned once. Beyond that it is dealt into blocks of that size,
     which are collected, broadcast and scanned for one after the other.
     """
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), utf8("text").alias("text"))
-    size = items.agg(F.sum(F.octet_length("text") * window)).first()[0] or 0
-    blocks = 1 if size <= most else -(-2 * size // most)
-    dealt = items.withColumn("block", F.expr(f"pmod(xxhash64(item_id, text), {blocks})"))
+    blocks = list(_blocks(benchmark, window, most))
     state = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         utf8("text").alias("text"),
         F.expr(f"cast(array() as {_PAIRS_DDL})").alias("runs"),
         F.expr("cast(array() as array<string>)").alias("items"),
     )
-    for number in range(blocks):
-        rows = dealt.where(F.col("block") == number).select("item_id", "text").collect()
-        block = tuple((row["item_id"], bytes(row["text"])) for row in rows)
-        last = number == blocks - 1
-        state = _scan(state, docs.sparkSession.sparkContext.broadcast(block), window, last)
-        if not last:
+    for block in blocks:
+        state = _scan(state, block(), window, last=block is blocks[-1])
+        if block is not blocks[-1]:
             state = staged(state, "scanned")
     return state
 
@@ -192,12 +205,17 @@ def contamination_digest(docs: DataFrame, benchmark: DataFrame, window: int = WI
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of `docs` without a hit word, columns unchanged.
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most: int = PATTERN_BYTES
+) -> DataFrame:
+    """The rows of `docs` without a hit word, in the sense of `contamination`; all columns stay."""
+    kept = docs
+    for number, block in enumerate(_blocks(benchmark, window, most)):
+        shared = block()
+
+        def clean(texts: list[bytes], shared=shared) -> list[bool]:
+            machine = automaton(shared.value, window)
+            return [not hits(words_of(text), machine)[0] for text in texts]
 
-    Rows are told apart by doc_id: of rows that share one, all go if one is
-    hit. Rows without a doc_id are judged together in the same way.
-    """
-    hit = contamination(docs, benchmark, window).where("n_hit > 0")
-    hit = hit.select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["_hit"]), "left_anti")
+        kept = filter_texts(staged(kept, "clean") if number else kept, clean)
+    return kept

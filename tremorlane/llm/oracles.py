@@ -47,6 +47,26 @@ select page_id, host, path, rule,
             when bad then 'block' else 'allow' end as verdict
 from ruled"""
 
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+    f"((('0x' || substr(sha, {1 + 5 * (i // 4)}, 5))::int >> {15 - 5 * (i % 4)}) & 31) + 1, 1)"
+    for i in range(32)
+)
+
+_ARCHIVE = f"""
+with payloads as (
+  select page_id, encode(coalesce(html, '')) as payload from pages
+),
+grouped as (
+  select page_id, octet_length(payload) as payload_bytes, sha1(payload) as sha,
+         max(page_id) over (partition by payload) as original
+  from payloads
+)
+select page_id, payload_bytes, {_BASE32} as payload_digest,
+       case when page_id = original then 'response' else 'revisit' end as record_type,
+       case when page_id <> original then original end as refers_to
+from grouped"""
+
 _WORDS = f"regexp_extract_all({_lower('text')}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
 
 _CONTAMINATION = f"""
@@ -83,6 +103,7 @@ select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
 from docs left join hit using (doc_id) left join listed using (doc_id)"""
 
 ORACLES: dict[str, str] = {
+    "op3_warc": _ARCHIVE,
     "op5_url_filter": _URLS,
     "op6_decontamination": _CONTAMINATION,
     "op10_exact_dedup": r"""

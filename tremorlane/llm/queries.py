@@ -13,11 +13,14 @@ from tremorlane.llm.decontaminate import contamination_digest
 from tremorlane.llm.exact_dedup import exact_copies
 from tremorlane.llm.simhash import simhash_components
 from tremorlane.llm.token_counts import token_counts
+from tremorlane.llm.token_store import stored_token_digest
 from tremorlane.llm.url_filter import judge_urls
+from tremorlane.llm.warc import archive_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
+WORD_PIECES = "word_bpe_49k.json"
 PIECES = "piece_bpe_32k.model"
 
 
@@ -39,6 +42,15 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path(WORD_PIECES)
+    return stored_token_digest(table(spark, sf_dir, "documents"), tokenizer)
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(table(spark, sf_dir, "pages")).drop("payload")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path(BYTE_RANKS)
     return bpe_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -63,6 +75,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_simhash_dedup": op1_simhash_dedup,
+    "op2_token_store": op2_token_store,
+    "op3_warc": op3_warc,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_url_filter": op5_url_filter,
     "op6_decontamination": op6_decontamination,
