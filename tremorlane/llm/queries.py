@@ -14,6 +14,7 @@ from tremorlane.llm.exact_dedup import exact_copies
 from tremorlane.llm.simhash import simhash_components
 from tremorlane.llm.token_counts import token_counts
 from tremorlane.llm.token_store import stored_token_digest
+from tremorlane.llm.toxicity import fit_toxicity, score_toxicity
 from tremorlane.llm.url_filter import judge_urls
 from tremorlane.llm.warc import archive_pages
 
@@ -69,6 +70,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies(table(spark, sf_dir, "documents"))
 
@@ -81,5 +87,6 @@ QUERIES: dict[str, Query] = {
     "op5_url_filter": op5_url_filter,
     "op6_decontamination": op6_decontamination,
     "op7_token_counts": op7_token_counts,
+    "op9_toxicity": op9_toxicity,
     "op10_exact_dedup": op10_exact_dedup,
 }

@@ -18,12 +18,12 @@ FOLDS = 5
 POSITIVES = 4_000
 UNLABELLED = 16_000
 FEATURES = 4_000
-STARTS = (4, 6)  # bytes of a word's start that are features of their own
-LEAST_CHI2 = 20.0  # by how much a feature's share must differ between the two, at least
+STARTS = (3, 4, 5, 6, 7, 8)  # bytes of a word's start that are features of their own
+LEAST_CHI2 = 6.0  # by how much a feature's share must differ between the two, at least
 LEAST_ROWS = 5  # rows of the sample that a feature must occur in
 STEPS = 400
 RATE = 0.05
-DECAY = 1e-3
+DECAY = 1e-5
 
 
 def text_features(text: bytes) -> set[bytes]:
