@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Collection, Iterator
+from itertools import filterfalse
 
 import pyarrow as pa
 import pyarrow.compute
@@ -78,15 +79,19 @@ class Remembered(dict):
         super().__init__()
         self.limit, self.older = limit, {}
 
-    def absent(self, keys: set) -> list:
-        """Those of `keys` that have to be worked out, sorted; the others are at hand now."""
+    def absent(self, keys: Collection) -> list:
+        """Those of the different `keys` that have to be worked out; the others are at hand now."""
         if len(self) + len(keys) > self.limit:
             self.older = dict(self)
             self.clear()
-        missing = keys.difference(self)
-        found = missing & self.older.keys()
-        self.update((key, self.older[key]) for key in found)
-        return sorted(missing - found)
+        missing = []
+        for key in filterfalse(self.__contains__, keys):
+            value = self.older.get(key)
+            if value is None:
+                missing.append(key)
+            else:
+                self[key] = value
+        return missing
 
 
 def filter_texts(df: DataFrame, keep: Callable[[list[bytes]], list[bool]]) -> DataFrame:

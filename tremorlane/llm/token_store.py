@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import unicodedata
@@ -16,13 +17,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import WhitespaceSplit
 
 from tremorlane.llm.common import Remembered, file_uri, slices, staged, utf8
+from tremorlane.llm.ragged import distinct_words, spread
 from tremorlane.staging import fresh_dir
 
 END_ID = 1
 FILE_TOKENS = 4 << 20
 CACHED = 250_000  # chunks of text a worker remembers
+# Tasks share the cores already; threads of the library would only wait for each other.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 _MAGIC = b"DACids01"
 _BLOCK = 512  # bits of a continuation bitmap under one entry of its rank directory
 
@@ -124,24 +129,40 @@ class TokenFile:
 
     def documents(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
         """(doc_id, position of its first token, ids) of every document."""
-        bounds = self.offsets.tolist()
+        bounds, ids = self.offsets.tolist(), self.ids(0, self.tokens)
         for doc_id, first, end in zip(self.doc_ids, bounds, bounds[1:], strict=False):
-            yield doc_id, first, self.ids(first, end)
+            yield doc_id, first, ids[first:end]
 
 
 #: A full stop or comma that no letter or digit precedes; an underscore is neither.
 _LOOSE = re.compile(r"(?<![^\W_])[.,]")
 _UNSAFE = (b"<|", b"\xcc", b"\xcd", b"\xc4\xb0")
 _TOGETHER = 512  # words handed to the library as one text
+_STOP = np.isin(np.arange(256), list(b".,"))
+_TIGHT = np.array([i >= 0x80 or chr(i).isalnum() for i in range(256)])
 
 
 def _is_word(text: str) -> bool:
     """Whether a chunk is one run of letters, also when composed and lower-cased."""
-    if text.isascii():
-        return text.isalpha()
     return text.isalpha() and unicodedata.normalize("NFC", text).lower().isalpha()
 
 
+def _suspects(texts: list[bytes]) -> np.ndarray:
+    """Texts with a full stop or comma after something that may be no letter or digit.
+
+    Letters are told by bytes: ASCII ones, and the second byte of U+00C0 to
+    U+00FF but for the two signs among them.
+    """
+    codes = np.frombuffer(b"".join(b"\0\0" + text for text in texts), np.uint8)
+    at = np.flatnonzero(_STOP[codes])
+    last, lead = codes[at - 1], codes[at - 2]
+    wide = (last < 0x80) | ((lead == 0xC3) & (last != 0x97) & (last != 0xB7))
+    starts = np.cumsum([0] + [len(text) + 2 for text in texts])
+    found = np.zeros(len(texts), bool)
+    found[np.searchsorted(starts, at[~(_TIGHT[last] & wide)], "right") - 1] = True
+    return found
+
+
 class LibraryIds:
     """Ids from the tokenizers library, which encodes each different chunk of text once.
 
@@ -151,13 +172,17 @@ class LibraryIds:
     can be encoded apart. So can a full stop or comma and the letter or digit
     before it, and A-Z can be lower-cased beforehand, in texts without
     combining marks (bytes CC and CD, and C4 B0 which lower-cases to one) and
-    without special tokens (`<|`); it leaves fewer different chunks.
+    without special tokens (`<|`); it leaves fewer different chunks. Words of
+    a-z alone go to the library's model directly, as its other steps leave
+    them as they are.
     """
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
+        self.plain = Tokenizer(self.library.model)
+        self.plain.pre_tokenizer = WhitespaceSplit()
         self.known = Remembered(CACHED)
         self.suffix = getattr(self.library.model, "end_of_word_suffix", None)
         self.closes = np.zeros(self.library.get_vocab_size(), bool)
@@ -166,38 +191,50 @@ class LibraryIds:
             self.closes[ids] = True
 
     @staticmethod
-    def chunks(text: bytes) -> list[bytes]:
-        if not any(mark in text for mark in _UNSAFE) and not _LOOSE.search(text.decode()):
-            text = text.lower().replace(b".", b" .").replace(b",", b" ,")
-        return text.split()
+    def prepared(texts: list[bytes]) -> list[bytes]:
+        """Texts with fewer different chunks and the same ids."""
+        out = []
+        for text, suspect in zip(texts, _suspects(texts).tolist(), strict=True):
+            if not any(mark in text for mark in _UNSAFE):
+                if not suspect or not _LOOSE.search(text.decode()):
+                    text = text.lower().replace(b".", b" .").replace(b",", b" ,")
+            out.append(text)
+        return out
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        parts = [self.chunks(text) for text in texts]
-        words, others = [], []
-        for chunk in self.known.absent(set().union(*parts)):
-            text = chunk.decode()
-            (words if self.suffix and _is_word(text) else others).append((chunk, text))
-        self._learn_words(words)
+        chunks, place, before = distinct_words(self.prepared(texts))
+        plain, words, others = [], [], []
+        for chunk in self.known.absent(chunks):
+            if not self.suffix:
+                others.append(chunk)
+            elif chunk.isalpha() and chunk.islower():
+                plain.append(chunk)
+            else:
+                (words if _is_word(chunk.decode()) else others).append(chunk)
+        self._learn_words(plain, self.plain)
+        self._learn_words(words, self.library)
         for first in range(0, len(others), 4096):
             some = others[first : first + 4096]
-            for (chunk, _), encoding in zip(some, self._library([x for _, x in some]), strict=True):
+            found = self.library.encode_batch_fast(
+                [chunk.decode() for chunk in some], add_special_tokens=False
+            )
+            for chunk, encoding in zip(some, found, strict=True):
                 self.known[chunk] = array("I", encoding.ids).tobytes()
-        return [b"".join(map(self.known.__getitem__, chunks)) for chunks in parts]
-
-    def _library(self, texts: list[str]) -> list:
-        return self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return spread(list(map(self.known.__getitem__, chunks)), place, before)
 
-    def _learn_words(self, words: list[tuple[bytes, str]]) -> None:
+    def _learn_words(self, words: list[bytes], library: Tokenizer) -> None:
         """Encode many words as one text and cut its ids where tokens end a word."""
         groups = [words[i : i + _TOGETHER] for i in range(0, len(words), _TOGETHER)]
-        texts = [" ".join(text for _, text in group) for group in groups]
-        for group, encoding in zip(groups, self._library(texts), strict=True):
+        texts = [b" ".join(group).decode() for group in groups]
+        found = library.encode_batch_fast(texts, add_special_tokens=False)
+        for group, encoding in zip(groups, found, strict=True):
             ids = np.array(encoding.ids, np.uint32)
             ends = np.flatnonzero(self.closes[ids]) + 1
             raw, bounds = ids.astype("<u4").tobytes(), (4 * np.r_[0, ends]).tolist()
-            for (chunk, _), first, end in zip(group, bounds[:-1], bounds[1:], strict=True):
-                self.known[chunk] = raw[first:end]
+            self.known.update(
+                zip(group, [raw[a:b] for a, b in zip(bounds, bounds[1:])], strict=True)
+            )
 
 
 @cache
