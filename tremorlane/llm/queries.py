@@ -12,6 +12,7 @@ from tremorlane.llm.byte_bpe import bpe_digests
 from tremorlane.llm.decontaminate import contamination_digest
 from tremorlane.llm.exact_dedup import exact_copies
 from tremorlane.llm.simhash import simhash_components
+from tremorlane.llm.substring_dedup import repeat_digest
 from tremorlane.llm.token_counts import token_counts
 from tremorlane.llm.token_store import stored_token_digest
 from tremorlane.llm.toxicity import fit_toxicity, score_toxicity
@@ -70,6 +71,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digest(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
@@ -87,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op5_url_filter": op5_url_filter,
     "op6_decontamination": op6_decontamination,
     "op7_token_counts": op7_token_counts,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_exact_dedup": op10_exact_dedup,
 }
