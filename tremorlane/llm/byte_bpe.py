@@ -185,9 +185,10 @@ def bpe_round_trip(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
 
 
 def bpe_digests(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of the round trip of every row."""
+    """(doc_id, ids, n_tokens, ids_sha256, decoded_sha256) of the round trip of every row."""
     return bpe_round_trip(docs, ranks, pattern).select(
         "doc_id",
+        "ids",
         F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

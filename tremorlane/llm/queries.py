@@ -54,8 +54,8 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks = public_tokenizers.path(BYTE_RANKS)
-    return bpe_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    ranks, pattern = public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN
+    return bpe_digests(table(spark, sf_dir, "documents"), ranks, pattern).drop("ids")
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
