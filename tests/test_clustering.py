@@ -1,12 +1,21 @@
 from __future__ import annotations
 
+import dataclasses
 import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tremorlane.operators import clustering, cluster_events, fit_clusters, standardize
+from tremorlane.operators import (
+    cluster_events,
+    cluster_quality,
+    clustering,
+    fit_clusters,
+    standardize,
+    with_nearest,
+)
+from tremorlane.plans.queries import cluster_verdict
 from tremorlane.schemas import CLUSTERED_COLUMNS, ENRICHED
 
 FEATURES = ["latitude", "longitude", "magnitude"]
@@ -121,3 +130,51 @@ def test_standardize(spark):
     values = rows[FEATURES].to_numpy()
     expected = values / values.std(axis=0, ddof=1)
     assert np.allclose(rows[[f"{name}_std" for name in FEATURES]].to_numpy(), expected)
+
+
+@pytest.mark.parametrize("merge_copies", [False, True])
+def test_labels_do_not_depend_on_the_session(spark, monkeypatch, merge_copies):
+    monkeypatch.setattr(clustering, "ROWS_PER_PART", 700)
+    df = events(spark, random_points(3000, seed=6)).cache()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    labels = []
+    try:
+        for parts in ("4", "8", "200"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            model = fit_clusters(df, merge_copies=merge_copies)
+            labels.append({row.earthquake_id: row.cluster for row in model.label(df).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert labels[0] == labels[1] == labels[2]
+
+
+def test_quality_refuses_poor_fits(spark):
+    df = events(spark, random_points(4000, seed=8)).cache()
+    good = fit_clusters(df)
+
+    def verdict(model):
+        return cluster_verdict(cluster_quality(df, model)).first().asDict()
+
+    passed = {
+        "n_rows": 4000,
+        "n_clusters": 5,
+        "n_misplaced": 0,
+        "centres_are_means": True,
+        "loss_is_low": True,
+    }
+    assert verdict(good) == passed
+    assert not verdict(fit_clusters(df.limit(7)))["centres_are_means"]
+    moved = [list(center) for center in good.centers]
+    moved[2][0] += 0.5
+    shifted = verdict(dataclasses.replace(good, centers=moved))
+    assert shifted["n_misplaced"] > 0 and not shifted["centres_are_means"]
+    assert not verdict(fit_clusters(df, k=2))["loss_is_low"]
+
+
+def test_nearest_is_told_row_by_row(spark):
+    df = events(spark, random_points(500, seed=2))
+    model = fit_clusters(df)
+    labelled = with_nearest(model.label(df), model)
+    assert labelled.where("not nearest or distance < 0").isEmpty()
+    wrong = model.label(df).withColumn("cluster", (F.col("cluster") + 1) % 5)
+    assert with_nearest(wrong, model).where("nearest").isEmpty()

@@ -29,7 +29,12 @@ def test_job(spark, tmp_path):
     land(pages, 1, "live", [*numbered(30, 60, title="live 1"), event(""), event("x", mag="bad")])
     land(pages, 1, "archive", numbered(60, 70, title="archive 1"))  # not the first poll
     result = job.run_job(
-        spark, str(pages), str(tmp_path / "out"), default_provider="net", monitor=True
+        spark,
+        str(pages),
+        str(tmp_path / "out"),
+        default_provider="net",
+        monitor=True,
+        backfill_threshold=10,
     )
     assert result.rows == 60
     table = read_csv(spark, result.clustered_csv)
@@ -49,12 +54,63 @@ def test_job(spark, tmp_path):
     assert spark.read.parquet(result.enriched).count() == 61  # with the bad magnitude
 
 
+def test_all_landed_pages_are_taken_by_default(spark, tmp_path, caplog):
+    pages = tmp_path / "pages"
+    land(pages, 0, "live", numbered(0, 20))
+    land(pages, 0, "archive", numbered(10, 30))
+    land(pages, 1, "archive", numbered(60, 70))
+    whole = job.run_job(spark, str(pages), str(tmp_path / "out"), default_provider="net")
+    ids = {row.earthquake_id for row in spark.read.parquet(whole.clustered).collect()}
+    assert ids == {f"e{i}" for i in (*range(30), *range(60, 70))}
+    assert not caplog.records
+    gated = job.run_job(
+        spark, str(pages), str(tmp_path / "out"), default_provider="net", backfill_threshold=10
+    )
+    assert gated.rows == 20
+    assert "30 events left out" in caplog.text
+
+
+def test_pages_one_by_one_end_as_the_batch_job_does(spark, tmp_path):
+    pages, out = tmp_path / "pages", str(tmp_path / "ingest")
+    steps = [
+        (0, "live", numbered(0, 5, title="live 0")),
+        (0, "archive", numbered(3, 40, title="archive 0")),
+        (1, "live", [*numbered(30, 60, title="live 1"), event("")]),
+    ]
+    for poll, feed, events in steps:
+        land(pages, poll, feed, events)
+        enriched = job.run_pages(
+            spark, str(pages), out, default_provider="net", every_seconds=None, monitor=False
+        )
+    batch = job.run_job(spark, str(pages), str(tmp_path / "out"), default_provider="net")
+    table = spark.read.parquet(enriched)
+    assert table.count() == 60
+    assert sorted(table.collect()) == sorted(spark.read.parquet(batch.enriched).collect())
+
+
+def test_live_pages(spark, tmp_path):
+    pages = tmp_path / "pages"
+    land(pages, 0, "live", numbered(0, 5))
+    for last in (5, 9):
+        land(pages, last, "live", numbered(3, last))
+        enriched = job.run_pages(
+            spark,
+            str(pages),
+            str(tmp_path / "out"),
+            default_provider="net",
+            seconds=15,
+            every_seconds=0.5,
+        )
+    ids = sorted(row.earthquake_id for row in spark.read.parquet(enriched).collect())
+    assert ids == sorted(f"e{i}" for i in range(9))
+
+
 def test_selections_read_their_own_folders_only(spark, tmp_path):
     land(tmp_path, 0, "live", numbered(0, 20))
     land(tmp_path, 0, "archive", numbered(0, 20))
     land(tmp_path, 1, "live", numbered(0, 20))
     raw = explode_pages(read_pages(spark, str(tmp_path)))
-    admitted = job.admitted_events(raw)  # twenty live events close the gate
+    admitted = job.admitted_events(raw, 10)  # twenty live events close the gate
     assert {row.feed for row in admitted.collect()} == {"live"}
     plan = admitted._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [(coalesce(feed" in plan

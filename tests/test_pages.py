@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import json
+import time
 
-from tremorlane.operators import clean_events, flatten_events, require_id
+from tremorlane.operators import clean_events, first_seen, flatten_events, require_id
+from tremorlane.plans.job import arrival_order, arriving_events
 from tremorlane.sources import explode_pages, read_pages
 from tremorlane.streaming import run_to_end, start_parquet
 
@@ -164,3 +166,29 @@ def test_pages_as_a_stream(spark, lines, tmp_path):
     run_to_end(start_parquet(stream, str(tmp_path / "out"), str(tmp_path / "check")))
     written = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(row.earthquake_id for row in written.collect()) == ["a", "b", "c"]
+
+
+def test_pages_without_a_number_count_in_the_order_of_their_files(spark, tmp_path):
+    """The second file is the larger one, which Spark would read first."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    pad = [event(f"pad{i}", title="x" * 500) for i in range(200)]
+    (folder / "z-first.json").write_text(
+        json.dumps({"result": [event("e", title="first")]}) + "\n"
+        + json.dumps({"result": [event("e", title="next line"), event("f", title="first")]}) + "\n"
+    )
+    time.sleep(0.05)
+    (folder / "a-second.json").write_text(
+        "".join(json.dumps({"result": [event("e", title="second"), event("f", title="second"), part]}) + "\n" for part in pad)
+    )
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("1k", "20k", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            events = arriving_events(explode_pages(read_pages(spark, str(folder))), default_provider="p")
+            kept = first_seen(events, "earthquake_id", arrival_order())
+            titles = {row.earthquake_id: row.title for row in kept.collect()}
+            assert (titles["e"], titles["f"]) == ("first", "first")
+            assert len(titles) == 202
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

@@ -6,6 +6,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.check_oracles import connect, differences
+from tremorlane.plans.oracles import ORACLES
+from tremorlane.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -17,18 +19,16 @@ def duck():
     connection.close()
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
     result = queries()[name](spark, SF).toPandas()
     assert len(result) > 0
-    sql = oracle_sql().get(name)
-    if sql is not None:
-        assert differences(result, duck.execute(sql).df()) is None
+    assert differences(result, duck.execute(oracle_sql()[name]).df()) is None
 
 
-def test_only_cluster_labels_have_no_sql():
-    assert set(queries()) - set(oracle_sql()) == {"cluster_events", "cluster_sizes"}
-    assert set(oracle_sql()) <= set(queries())
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 def test_entry(spark):

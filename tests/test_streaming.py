@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import random
+import subprocess
+import sys
 import time
 from pathlib import Path
 
@@ -14,9 +16,11 @@ from tremorlane.schemas import FLAT, MONITOR_COLUMNS
 from tremorlane.sources import read_events
 from tremorlane.streaming import (
     dedup_stream,
+    land_first_seen,
     read_event_stream,
     run_for,
     run_to_end,
+    start_first_seen,
     start_monitor,
     start_parquet,
 )
@@ -106,8 +110,118 @@ def test_malformed_lines(spark, lines, tmp_path):
     assert {row.earthquake_id for row in batch} == {"whole", "extra"}
 
 
-@pytest.mark.parametrize("salts", [0, 4, 64])
-def test_dedup_over_batches_and_restarts(spark, tmp_path, salts):
+def test_state_has_one_entry_per_key(spark, tmp_path):
+    out, check, landing = (str(tmp_path / name) for name in ("out", "check", "in"))
+    for _ in range(3):  # the same hundred ids again and again, in several files
+        ids = spark.range(600).select((F.col("id") % 100).cast("string").alias("earthquake_id"))
+        ids.repartition(6).write.mode("append").json(landing)
+        query = start_parquet(dedup_stream(read_event_stream(spark, landing)), out, check)
+        run_to_end(query)
+        states = [p.stateOperators for p in query.recentProgress if p.stateOperators]
+        assert [[state.numRowsTotal for state in states[-1]]] == [[100]]
+
+
+def numbered_rows(spark, rows, landing: str, files: int) -> None:
+    df = spark.createDataFrame(rows, "earthquake_id STRING, title STRING, seq LONG")
+    df.repartitionByRange(files, "seq").sortWithinPartitions("seq").write.mode("append").json(landing)
+
+
+def land_numbered(spark, landing: str, out: str, check: str, **options) -> None:
+    stream = (
+        spark.readStream.schema("earthquake_id STRING, title STRING, seq LONG")
+        .options(**options)
+        .json(landing)
+        .withColumn("line", F.lit(None).cast("bigint"))
+    )
+    columns = ["earthquake_id", "title"]
+    run_to_end(
+        start_first_seen(
+            stream, out, check, key="earthquake_id", arrival=["seq", "line"], columns=columns
+        )
+    )
+
+
+def test_first_seen_rows_over_batches_and_restarts(spark, tmp_path):
+    """One id has a third of all rows; the row that stays is the very first of each id."""
+    rng = random.Random(3)
+    out, check, landing = (str(tmp_path / name) for name in ("out", "check", "in"))
+    rows = [
+        (rng.choice(["hot", f"e{rng.randrange(60)}", f"f{i}"]), f"title {i}", i) for i in range(900)
+    ]
+    for part in range(3):
+        numbered_rows(spark, rows[part * 300 : (part + 1) * 300], landing, 4)
+        land_numbered(spark, landing, out, check)
+        land_numbered(spark, landing, out, check)  # nothing new
+    first = {}
+    for name, title, _ in rows:
+        first.setdefault(name, title)
+    written = spark.read.parquet(out).collect()
+    assert sorted((row.earthquake_id, row.title) for row in written) == sorted(first.items())
+
+
+def test_repeated_ids_leave_one_row_each(spark, tmp_path):
+    out, check, landing = (str(tmp_path / name) for name in ("out", "check", "in"))
+    for part in range(4):
+        numbered_rows(spark, [(f"e{i % 50}", f"{part}", i) for i in range(200)], landing, 3)
+        land_numbered(spark, landing, out, check)
+    written = spark.read.parquet(out).collect()
+    assert len(written) == 50 and {row.title for row in written} == {"0"}
+
+
+def test_a_batch_that_failed_half_way_is_written_again(spark, tmp_path):
+    out = str(tmp_path / "out")
+    schema = "earthquake_id STRING, title STRING, seq LONG, line LONG"
+
+    def land(rows, batch_id):
+        batch = spark.createDataFrame([(*row, None) for row in rows], schema)
+        land_first_seen(
+            batch, batch_id, out, "earthquake_id", ["seq", "line"], ["earthquake_id", "title"]
+        )
+
+    def ids():
+        return sorted((row.earthquake_id, row.title) for row in spark.read.parquet(out).collect())
+
+    second = [("b", "again", 3), ("c", "new", 4), ("c", "newer", 5)]
+    land([("a", "1", 1), ("b", "1", 2)], 0)
+    land(second, 1)
+    whole = ids()
+    assert whole == [("a", "1"), ("b", "1"), ("c", "new")]
+    (tmp_path / "out" / "batch=1" / "_SUCCESS").unlink()  # as if it had ended before
+    land(second, 1)
+    assert ids() == whole
+    land([("z", "ignored", 9)], 1)  # finished: left as it is
+    assert ids() == whole
+
+
+CONSOLE = """
+import sys
+from pyspark.sql import SparkSession
+from tremorlane.operators import enrich
+from tremorlane.streaming import read_event_stream, run_to_end, start_monitor
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+run_to_end(start_monitor(enrich(read_event_stream(spark, sys.argv[1])), sys.argv[2]))
+"""
+
+
+def test_console_shows_ten_whole_rows(lines, tmp_path):
+    long = "a region whose name is longer than twenty characters"
+    folder = lines([flat(f"e{i}", region=f"{long} {i}") for i in range(25)])
+    shown = subprocess.run(
+        [sys.executable, "-c", CONSOLE, folder, str(tmp_path / "check")],
+        capture_output=True,
+        text=True,
+        timeout=120,
+        cwd=Path(__file__).parent.parent,
+        check=True,
+    ).stdout
+    rows = [line for line in shown.splitlines() if long in line]
+    assert len(rows) == 10
+    assert "only showing top 10 rows" in shown
+    header = next(line for line in shown.splitlines() if "event_time" in line)
+    assert [name.strip() for name in header.strip("|").split("|")] == list(MONITOR_COLUMNS)
+
+
+def test_dedup_over_batches_and_restarts(spark, tmp_path):
     """One id has a third of all rows, over several files, batches and runs."""
     rng = random.Random(3)
     rows = [
@@ -121,7 +235,7 @@ def test_dedup_over_batches_and_restarts(spark, tmp_path, salts):
         df.write.mode("append").json(landing)
         for name, title in chunk:
             seen.setdefault(name, {title}) if part else seen.setdefault(name, set()).add(title)
-        stream = dedup_stream(read_event_stream(spark, landing, files_per_batch=4), salts=salts)
+        stream = dedup_stream(read_event_stream(spark, landing, files_per_batch=4))
         run_to_end(start_parquet(stream, out, check))
     written = spark.read.parquet(out).collect()
     assert len(written) == len({row.earthquake_id for row in written}) == len(seen)

@@ -11,9 +11,11 @@ from tremorlane.operators.clean import (
 from tremorlane.operators.clustering import (
     ClusterModel,
     cluster_events,
+    cluster_quality,
     fit_clusters,
     fit_scaler,
     standardize,
+    with_nearest,
 )
 from tremorlane.operators.enrich import enrich
 from tremorlane.operators.flatten import flatten_events
@@ -32,6 +34,7 @@ __all__ = [
     "backfill_union",
     "clean_events",
     "cluster_events",
+    "cluster_quality",
     "cluster_sizes",
     "drop_incomplete",
     "drop_null_island",
@@ -48,5 +51,6 @@ __all__ = [
     "row_count",
     "severity_counts",
     "standardize",
+    "with_nearest",
     "within_box",
 ]

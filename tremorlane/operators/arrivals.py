@@ -30,9 +30,10 @@ def backfill_union(
     """Live rows, plus the archive's if there are fewer than `threshold` live ones.
 
     `first_poll` gives the live rows that decide, where `live` spans several
-    polls. The decision is made at once and takes no more than `threshold`
-    rows, so that a closed gate leaves the archive unread.
+    polls. The gate is a scalar subquery of the plan itself, which stops at
+    `threshold` rows: nothing runs before the result is asked for, and it is
+    decided anew on the data of each run.
     """
     deciding = live if first_poll is None else first_poll
-    quiet = len(deciding.select(F.lit(1)).take(threshold)) < threshold
-    return live.unionByName(archive) if quiet else live
+    seen = deciding.select(F.lit(1).alias("one")).limit(threshold).agg(F.count("one"))
+    return live.unionByName(archive.where(seen.scalar() < threshold))

@@ -5,13 +5,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tremorlane.operators.clean import KEY_COLUMNS
@@ -19,7 +20,7 @@ from tremorlane.schemas import CLUSTERED_COLUMNS
 
 CLUSTERS = 5
 SEED = 42
-ROWS_PER_PART = 10_000
+ROWS_PER_PART = 2_000_000
 COPIES_PER_PART = 100_000
 
 
@@ -91,19 +92,19 @@ def fit_clusters(
     seed: int = SEED,
     features: Sequence[str] = KEY_COLUMNS,
     partitions: int | None = None,
-    merge_copies: bool = False,
+    merge_copies: bool = True,
 ) -> ClusterModel:
     """Fit KMeans with at most as many clusters as there are rows.
 
     Features are scaled as `standardize` does, from a single aggregate that
     also counts the rows. MLlib's clusters depend on how rows are spread over
     its partitions, so they are spread by their own values over `partitions`
-    parts; by default as many as the session uses for shuffles, fewer for few
-    rows. The same rows and number of parts always give the same clusters.
+    parts; by default one for every ROWS_PER_PART rows, whatever the session's
+    settings. The same rows and number of parts always give the same clusters.
 
-    `merge_copies` fits on the distinct points, each weighted by its copies.
-    The objective is the same and the data smaller, but MLlib's choice of
-    first centres ignores weights and may end in a poorer optimum.
+    `merge_copies` fits on the distinct points, each weighted by its copies:
+    the same objective on a table that is the smaller the more points repeat.
+    Without it every copy is a row of its own.
     """
     rows, *deviations = df.agg(F.count("*"), *map(F.stddev_samp, features)).first()
     k = max(1, min(k, rows))
@@ -115,8 +116,7 @@ def fit_clusters(
         for name, deviation in zip(features, deviations, strict=True)
     }
     if partitions is None:
-        most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        partitions = min(most, math.ceil(rows / ROWS_PER_PART))
+        partitions = math.ceil(rows / ROWS_PER_PART)
     # MLlib keeps the vectors it works on, but reads its input three times
     # (layout, first pass, cluster sizes): those reads come from local disk,
     # not from another scan and shuffle.
@@ -148,3 +148,61 @@ def cluster_events(
     """Cleaned, enriched events as the clustered table; empty in, empty out."""
     model = fit_clusters(df, k, seed, partitions=partitions)
     return model.label(df).select(*CLUSTERED_COLUMNS)
+
+
+def _distances(model: ClusterModel) -> Column:
+    """Squared distances of a row to all centres, from the scaled features."""
+    to_centre = []
+    for center in model.centers:
+        steps = (
+            F.pow(F.col(name) * F.lit(factor) - F.lit(position), F.lit(2.0))
+            for (name, factor), position in zip(model.factors.items(), center, strict=True)
+        )
+        to_centre.append(reduce(lambda left, right: left + right, steps))
+    return F.array(*to_centre)
+
+
+def with_nearest(df: DataFrame, model: ClusterModel) -> DataFrame:
+    """Labelled rows with `distance`, to their own centre, and `nearest`: whether no other is nearer."""
+    own = F.get("_distances", F.col("cluster"))
+    return (
+        df.withColumn("_distances", _distances(model))
+        .withColumn("distance", own)
+        .withColumn("nearest", own <= F.array_min("_distances") + F.lit(1e-9))
+        .drop("_distances")
+    )
+
+
+def cluster_quality(df: DataFrame, model: ClusterModel) -> DataFrame:
+    """One row that tells a fit of `df` from a poor one, computed without MLlib.
+
+    `n_clusters` that have rows; `n_misplaced` rows that another centre is
+    nearer to; `centre_shift`, the furthest that a centre lies from the mean
+    of its rows, in scaled units; `loss_share`, the sum of squared distances
+    as a share of that around the mean of all rows, which for scaled features
+    is (n - 1) for each.
+    """
+    scaled = [(F.col(name) * F.lit(factor)).alias(f"_{name}") for name, factor in model.factors.items()]
+    rows = with_nearest(model.label(df), model).select("cluster", "distance", "nearest", *scaled)
+    means = [F.avg(f"_{name}").alias(f"_{name}") for name in model.factors]
+    parts = rows.groupBy("cluster").agg(
+        F.count("*").alias("n"),
+        F.sum("distance").alias("loss"),
+        F.count_if(~F.col("nearest")).alias("misplaced"),
+        *means,
+    )
+    centres = F.array(*(F.array(*map(F.lit, center)) for center in model.centers))
+    own = F.get(centres, F.col("cluster"))
+    steps = (
+        F.pow(F.col(f"_{name}") - F.get(own, F.lit(i)), F.lit(2.0))
+        for i, name in enumerate(model.factors)
+    )
+    shift = F.sqrt(reduce(lambda left, right: left + right, steps))
+    total = F.lit(len(model.factors)) * (F.sum("n") - 1)
+    return parts.withColumn("shift", shift).agg(
+        F.sum("n").alias("n_rows"),
+        F.count("*").alias("n_clusters"),
+        F.sum("misplaced").alias("n_misplaced"),
+        F.max("shift").alias("centre_shift"),
+        (F.sum("loss") / total).alias("loss_share"),
+    )

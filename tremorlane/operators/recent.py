@@ -7,10 +7,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PAGE_LIMIT = 500
 
-
-def newest(df: DataFrame, limit: int = PAGE_LIMIT) -> DataFrame:
+def newest(df: DataFrame, limit: int) -> DataFrame:
     """The `limit` newest events; equal times are ordered by id.
 
     Each task keeps its own `limit` rows, so only these are brought together.
@@ -19,27 +17,28 @@ def newest(df: DataFrame, limit: int = PAGE_LIMIT) -> DataFrame:
 
 
 def live_window(
-    df: DataFrame, as_of: datetime, hours: int = 24, limit: int = PAGE_LIMIT
+    df: DataFrame, as_of: datetime, hours: int = 24, limit: int | None = None
 ) -> DataFrame:
-    """The newest events of the `hours` before `as_of`."""
+    """The events of the `hours` before `as_of`; with a limit, the newest of them."""
     since = as_of - timedelta(hours=hours)
     recent = df.where((F.col("event_ts") > _moment(since)) & (F.col("event_ts") <= _moment(as_of)))
-    return newest(recent, limit)
+    return recent if limit is None else newest(recent, limit)
 
 
 def archive_window(
-    df: DataFrame, as_of: datetime, days: int = 7, limit: int = PAGE_LIMIT
+    df: DataFrame, as_of: datetime, days: int = 7, limit: int | None = None
 ) -> DataFrame:
-    """The newest events of the `days` calendar days before `as_of`, and its own.
+    """The events of the `days` calendar days before `as_of`, and its own.
 
-    Day bounds are compared as moments, so the filter reaches the scan.
+    Day bounds are compared as moments, so the filter reaches the scan. With a
+    limit, the newest of them.
     """
     today = as_of.replace(hour=0, minute=0, second=0, microsecond=0)
     first, after_last = today - timedelta(days=days), today + timedelta(days=1)
     ranged = df.where(
         (F.col("event_ts") >= _moment(first)) & (F.col("event_ts") < _moment(after_last))
     )
-    return newest(ranged, limit)
+    return ranged if limit is None else newest(ranged, limit)
 
 
 def _moment(value: datetime):

@@ -25,14 +25,16 @@ from tremorlane.operators import (
     severity_counts,
 )
 from tremorlane.operators.clustering import CLUSTERS, SEED
-from tremorlane.schemas import CLUSTERED
-from tremorlane.sinks import write_csv, write_json_lines, write_parquet
+from tremorlane.schemas import CLUSTERED, FLAT, FLAT_COLUMNS
+from tremorlane.sinks import write_csv, write_parquet
 from tremorlane.sources import explode_pages, read_enriched, read_pages
 from tremorlane.streaming import (
     dedup_stream,
     read_event_stream,
+    read_landed_stream,
     run_for,
     run_to_end,
+    start_first_seen,
     start_monitor,
     start_parquet,
 )
@@ -40,13 +42,17 @@ from tremorlane.streaming.queries import TRIGGER_SECONDS
 
 log = logging.getLogger(__name__)
 
-PLACE = ("poll", "feed", "page", "pos")
+PLACE = ("poll", "feed", "page", "file", "line", "pos")
 
 
 def arrival_order() -> list[Column]:
-    """Poll by poll, within a poll the live feed before the archive."""
+    """Poll by poll, within a poll the live feed before the archive, then page by page.
+
+    Pages without a number come in the order in which their files came to be,
+    and within a file as they stand in it.
+    """
     feed_rank = F.when(F.col("feed") == "live", F.lit(0)).otherwise(F.lit(1))
-    return [F.col("poll"), feed_rank, F.col("page"), F.col("pos")]
+    return [F.col("poll"), feed_rank, *map(F.col, ("page", "file", "line", "pos"))]
 
 
 def arriving_events(raw: DataFrame, *, default_provider: str) -> DataFrame:
@@ -59,12 +65,12 @@ def arriving_events(raw: DataFrame, *, default_provider: str) -> DataFrame:
     )
 
 
-def admitted_events(raw: DataFrame) -> DataFrame:
-    """Live events of all polls; those of the archive if the first poll was quiet."""
+def admitted_events(raw: DataFrame, threshold: int) -> DataFrame:
+    """Live events of all polls, and the first poll's archive if that poll had few live ones."""
     live = raw.where(F.col("feed") == "live")
     first_poll = F.col("poll") == 0
     archive = raw.where((F.col("feed") == "archive") & first_poll)
-    return backfill_union(live, archive, first_poll=live.where(first_poll))
+    return backfill_union(live, archive, threshold, first_poll=live.where(first_poll))
 
 
 @dataclass(frozen=True)
@@ -90,9 +96,14 @@ def run_job(
     k: int = CLUSTERS,
     seed: int = SEED,
     fit_partitions: int | None = None,
+    backfill_threshold: int | None = None,
 ) -> JobResult:
     """Run all stages on the pages under `pages`, each a table under `out`.
 
+    All landed pages are taken. With a `backfill_threshold`, those of the
+    archive are only if they are of the first poll and it had fewer live
+    events than that; how many events this leaves out is logged.
+
     Every run has its own folder, so its stream starts without old checkpoints
     and nothing of the user's is deleted. With no usable event the clustered
     table is empty, `rows` is 0 and no report is written.
@@ -102,15 +113,16 @@ def run_job(
     clustered_csv = f"{run}/clustered_csv"
 
     raw = explode_pages(read_pages(spark, pages, one_document_per_file=one_document_per_file))
+    taken = raw if backfill_threshold is None else admitted_events(raw, backfill_threshold)
+    if backfill_threshold is not None:
+        log.warning("backfill gate of %d: %d events left out", backfill_threshold, _missing(raw, taken))
     fresh = first_seen(
-        arriving_events(admitted_events(raw), default_provider=default_provider),
-        "earthquake_id",
-        arrival_order(),
+        arriving_events(taken, default_provider=default_provider), "earthquake_id", arrival_order()
     ).drop(*PLACE)
-    write_json_lines(fresh, landing)
+    write_parquet(fresh, landing)
 
     # The landing table has one row per id already, so the stream keeps no state.
-    stream = enrich(read_event_stream(spark, landing))
+    stream = enrich(read_landed_stream(spark, landing))
     queries = [start_parquet(stream, enriched, f"{run}/checkpoint/parquet")]
     if monitor:
         queries.append(start_monitor(stream, f"{run}/checkpoint/monitor"))
@@ -137,6 +149,57 @@ def run_job(
     return JobResult(rows, landing, enriched, clustered, clustered_csv, reports)
 
 
+def _missing(all_rows: DataFrame, some: DataFrame) -> int:
+    counts = (df.agg(F.count("*").alias("n")) for df in (all_rows, some))
+    whole, part = (row["n"] for df in counts for row in df.collect())
+    return whole - part
+
+
+def run_pages(
+    spark: SparkSession,
+    pages: str,
+    out: str,
+    *,
+    default_provider: str,
+    seconds: float | None = None,
+    every_seconds: float | None = TRIGGER_SECONDS,
+    monitor: bool = True,
+) -> str:
+    """Ingest response pages as they arrive under `pages`; gives the enriched table's folder.
+
+    Pages are flattened and the first row of every id landed, and the landed
+    rows labelled, by queries that run side by side for `seconds` or until
+    stopped. Without `every_seconds` they take what is there, one after the
+    other, and end. A later run with the same `out` goes on where this one
+    ended; pages count as arrived in the order of their polls within a batch.
+    """
+    out = out.rstrip("/")
+    landing, enriched, checkpoint = f"{out}/landing", f"{out}/enriched", f"{out}/checkpoint"
+    raw = explode_pages(read_pages(spark, pages, streaming=True))
+    first = start_first_seen(
+        arriving_events(raw, default_provider=default_provider),
+        landing,
+        f"{checkpoint}/landing",
+        key="earthquake_id",
+        arrival=arrival_order(),
+        columns=list(FLAT_COLUMNS),
+        every_seconds=every_seconds,
+    )
+    if every_seconds is None:
+        run_to_end(first)
+    else:  # the stream below needs a folder to watch
+        write_parquet(spark.createDataFrame([], FLAT), f"{landing}/batch=-1", "ignore")
+    stream = enrich(read_landed_stream(spark, landing))
+    queries = [start_parquet(stream, enriched, f"{checkpoint}/enriched", every_seconds)]
+    if monitor:
+        queries.append(start_monitor(stream, f"{checkpoint}/monitor", every_seconds))
+    if every_seconds is None:
+        run_to_end(*queries)
+    else:
+        run_for(first, *queries, seconds=seconds)
+    return enriched
+
+
 def run_live(
     spark: SparkSession,
     landing: str,
@@ -169,6 +232,9 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("out", help="folder for the tables of the run")
     parser.add_argument("--provider", required=True, help="provider of events that name none")
     parser.add_argument("--monitor", action="store_true", help="print rows of each batch")
+    parser.add_argument(
+        "--backfill-threshold", type=int, help="live events from which on the archive stays out"
+    )
     options = parser.parse_args(arguments)
     spark = SparkSession.builder.appName("tremorlane").getOrCreate()
     result = run_job(
@@ -177,6 +243,7 @@ def main(arguments: list[str] | None = None) -> int:
         options.out,
         default_provider=options.provider,
         monitor=options.monitor,
+        backfill_threshold=options.backfill_threshold,
     )
     return 0 if result.rows else 1
 

@@ -112,15 +112,13 @@ _QUIET = _raw((0, "archive", "ts < timestamp '2024-01-20'"), (1, "live", "true")
 def _live(as_of: str) -> str:
     return f"""
 select * from enriched
-where event_ts > timestamp '{as_of}' - interval 24 hours and event_ts <= timestamp '{as_of}'
-order by event_ts desc, earthquake_id limit 500"""
+where event_ts > timestamp '{as_of}' - interval 24 hours and event_ts <= timestamp '{as_of}'"""
 
 
 def _archive(as_of: str) -> str:
     return f"""
 select * from enriched
-where event_ts::date between timestamp '{as_of}'::date - 7 and timestamp '{as_of}'::date
-order by event_ts desc, earthquake_id limit 500"""
+where event_ts::date between timestamp '{as_of}'::date - 7 and timestamp '{as_of}'::date"""
 
 
 def _backfill(day: str, as_of: str) -> str:
@@ -182,12 +180,19 @@ select poll, feed, earthquake_id, provider, title, mag, depth, n_coordinates, ep
 from raw""",
     "flatten_events": f"with {_LIVE_AND_ARCHIVE} select {_FLAT_COLUMNS} from flattened",
     "dedup_first_seen": f"with {_LIVE_AND_ARCHIVE} select {_FLAT_COLUMNS} from fresh",
-    "stream_dedup": f"with {_LIVE_AND_ARCHIVE} select earthquake_id from fresh",
+    "stream_dedup": f"with {_LIVE_AND_ARCHIVE} select {_FLAT_COLUMNS} from fresh",
+    "state_dedup": f"with {_LIVE_AND_ARCHIVE} select earthquake_id from fresh",
+    "continuous_ingest": (
+        f"with {_LIVE_AND_ARCHIVE}, {_enriched_from('fresh')} select * from enriched"
+    ),
     "backfill_union": (
         f"{_ENRICHED} {_backfill('quiet', '2024-02-02')} union all "
         f"{_backfill('busy', '2024-01-31')}"
     ),
     "live_window": f"{_ENRICHED} {_live('2024-01-31')}",
+    "newest_page": (
+        f"{_ENRICHED} {_live('2024-01-31')} order by event_ts desc, earthquake_id limit 500"
+    ),
     "archive_window": f"{_ENRICHED} {_archive('2024-01-31')}",
     "severity_label": f"{_ENRICHED} select earthquake_id, magnitude, severity from enriched",
     "parse_event_time": f"{_ENRICHED} select earthquake_id, event_time, event_ts from enriched",
@@ -221,8 +226,17 @@ select nullif(earthquake_id, '') as earthquake_id, nullif(provider, '') as provi
        nullif(region, '') as region, nullif(severity, '') as severity,
        nullif(event_time, '') as event_time
 from enriched""",
-    "cluster_check": (
-        f"{_CLEANED} select count(*) as n_rows, count(*) as n_in_range, 0::bigint as n_misplaced "
+    "cluster_events": f"""
+{_CLEANED}
+select earthquake_id, provider, title, magnitude, depth, latitude, longitude, region, severity,
+       event_time, true as nearest
+from clean""",
+    "cluster_sizes": (
+        f"{_CLEANED} select 5::bigint as n_clusters, count(*) as n_rows, 5::bigint as n_recounted "
         "from clean"
     ),
+    "cluster_check": (
+        f"{_CLEANED} select count(*) as n_rows, 5::bigint as n_clusters, 0::bigint as n_misplaced, "
+        "true as centres_are_means, true as loss_is_low from clean"
+    ),
 }

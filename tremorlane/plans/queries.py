@@ -13,7 +13,7 @@ from tremorlane.operators import (
     archive_window,
     backfill_union,
     clean_events,
-    cluster_events,
+    cluster_quality,
     cluster_sizes,
     enrich,
     first_seen,
@@ -26,9 +26,11 @@ from tremorlane.operators import (
     row_count,
     severity_counts,
     standardize,
+    with_nearest,
 )
+from tremorlane.operators.arrivals import BACKFILL_THRESHOLD
 from tremorlane.operators.clean import KEY_COLUMNS
-from tremorlane.plans.job import PLACE, arrival_order, arriving_events, run_job
+from tremorlane.plans.job import PLACE, arrival_order, arriving_events, run_job, run_pages
 from tremorlane.plans.testdata import (
     DEFAULT_PROVIDER,
     LIVE_AND_ARCHIVE_POLLS,
@@ -37,20 +39,23 @@ from tremorlane.plans.testdata import (
     land_pages,
     landed_events,
 )
-from tremorlane.schemas import CLUSTERED_COLUMNS, MONITOR_COLUMNS, ddl
+from tremorlane.schemas import CLUSTERED_COLUMNS, FLAT, FLAT_COLUMNS, MONITOR_COLUMNS, ddl
 from tremorlane.sinks import write_csv, write_json_lines, write_parquet
-from tremorlane.sources import read_csv, read_enriched, read_events
+from tremorlane.sources import explode_pages, read_csv, read_enriched, read_events, read_pages
+from tremorlane.sources.files import read_table
 from tremorlane.staging import fresh_dir
 from tremorlane.streaming import (
     dedup_stream,
     read_event_stream,
     run_to_end,
+    start_first_seen,
     start_monitor,
     start_parquet,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+REQUEST_ROWS = 500
 AS_OF = datetime(2024, 1, 31)  # the day after the last event
 QUIET_AS_OF = datetime(2024, 2, 2)  # no event in the day before, some in the week
 
@@ -99,24 +104,65 @@ def dedup_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids over two runs on one checkpoint: the second finds the first's again."""
+    """First-seen rows over two runs on one checkpoint: the second finds the first's ids again."""
+    pages, out = fresh_dir(spark, "pages"), fresh_dir(spark, "distinct")
+    checkpoint = fresh_dir(spark, "checkpoint")
+    for poll in (0, 1):
+        polls = tuple(part for part in LIVE_AND_ARCHIVE_POLLS if part[0] == poll)
+        land_pages(spark, sf_dir, polls, pages)
+        raw = explode_pages(read_pages(spark, pages, streaming=True))
+        run_to_end(
+            start_first_seen(
+                arriving_events(raw, default_provider=DEFAULT_PROVIDER),
+                out,
+                checkpoint,
+                key="earthquake_id",
+                arrival=arrival_order(),
+                columns=list(FLAT_COLUMNS),
+            )
+        )
+    return read_table(spark, out, FLAT).drop("batch")
+
+
+def state_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that Spark's own state keeps over two runs; which of their rows stay is not fixed."""
     raw = landed_events(spark, sf_dir, LIVE_AND_ARCHIVE_POLLS)
     events = arriving_events(raw, default_provider=DEFAULT_PROVIDER)
     landing, out = fresh_dir(spark, "landing"), fresh_dir(spark, "distinct")
     checkpoint = fresh_dir(spark, "checkpoint")
     for poll in (0, 1):
-        write_json_lines(
-            events.where(F.col("poll") == poll).drop(*PLACE), landing
-        )
+        write_json_lines(events.where(F.col("poll") == poll).drop(*PLACE), landing)
         stream = dedup_stream(require_id(read_event_stream(spark, landing)))
         run_to_end(start_parquet(enrich(stream), out, checkpoint))
     return read_enriched(spark, out).select("earthquake_id")
 
 
+def continuous_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The enriched table after pages arrived poll by poll, with an ingest run after each."""
+    pages, out = fresh_dir(spark, "pages"), fresh_dir(spark, "ingest")
+    for poll in (0, 1):
+        polls = tuple(part for part in LIVE_AND_ARCHIVE_POLLS if part[0] == poll)
+        land_pages(spark, sf_dir, polls, pages)
+        enriched = run_pages(
+            spark,
+            pages,
+            out,
+            default_provider=DEFAULT_PROVIDER,
+            every_seconds=None,
+            monitor=False,
+        )
+    return read_enriched(spark, enriched)
+
+
 def live_window_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live_window(_enriched(spark, sf_dir), AS_OF)
 
 
+def newest_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What one request for the live feed gives: at most 500 events, the newest."""
+    return live_window(_enriched(spark, sf_dir), AS_OF, limit=REQUEST_ROWS)
+
+
 def archive_window_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_window(_enriched(spark, sf_dir), AS_OF)
 
@@ -205,43 +251,46 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cluster_events_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cluster_events(_clean(spark, sf_dir))
+    """The clustered table, and of each row whether its label names the nearest centre."""
+    events = _clean(spark, sf_dir)
+    model = fit_clusters(events)
+    labelled = model.label(events).select(*CLUSTERED_COLUMNS)
+    return with_nearest(labelled, model).drop("cluster", "distance")
 
 
 def cluster_sizes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cluster_sizes(cluster_events(_clean(spark, sf_dir)))
+    """The sizes, held against a count of the rows whose own centre is the nearest."""
+    events = _clean(spark, sf_dir)
+    model = fit_clusters(events)
+    labelled = model.label(events)
+    sizes = cluster_sizes(labelled)
+    recount = with_nearest(labelled, model).where("nearest").groupBy("cluster").count()
+    return sizes.join(recount, "cluster", "left").agg(
+        F.count("*").alias("n_clusters"),
+        F.sum("n").alias("n_rows"),
+        F.count_if(F.col("n").eqNullSafe(F.col("count"))).alias("n_recounted"),
+    )
 
 
-def cluster_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What holds for any clustering: all rows labelled, with the nearest centre.
+# Limits that a sound fit of scaled features keeps: a centre lies within the
+# first of the mean of its rows, and the loss is below the second.
+CENTRE_SHIFT = 0.05
+LOSS_SHARE = 0.45
 
-    The distances are computed in SQL from the scaled columns, not by MLlib.
-    """
+
+def cluster_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds for any sound clustering, from distances computed without MLlib."""
     events = _clean(spark, sf_dir)
-    model = fit_clusters(events)
-    distances = F.array(
-        *(
-            reduce(
-                lambda left, right: left + right,
-                (
-                    F.pow(F.col(name) * F.lit(factor) - F.lit(position), F.lit(2.0))
-                    for (name, factor), position in zip(
-                        model.factors.items(), center, strict=True
-                    )
-                ),
-            )
-            for center in model.centers
-        )
-    )
-    misplaced = F.get("distances", F.col("cluster")) > F.array_min("distances") + F.lit(1e-9)
-    return (
-        model.label(events)
-        .withColumn("distances", distances)
-        .agg(
-            F.count("*").alias("n_rows"),
-            F.count_if(F.col("cluster").between(0, 4)).alias("n_in_range"),
-            F.count_if(misplaced).alias("n_misplaced"),
-        )
+    return cluster_verdict(cluster_quality(events, fit_clusters(events)))
+
+
+def cluster_verdict(quality: DataFrame) -> DataFrame:
+    return quality.select(
+        "n_rows",
+        "n_clusters",
+        "n_misplaced",
+        (F.col("centre_shift") < CENTRE_SHIFT).alias("centres_are_means"),
+        (F.col("loss_share") < LOSS_SHARE).alias("loss_is_low"),
     )
 
 
@@ -249,7 +298,13 @@ def event_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The end-to-end job on landed pages; what its reports say, in one table."""
     pages = fresh_dir(spark, "pages")
     land_pages(spark, sf_dir, QUIET_FIRST_POLL, pages)
-    result = run_job(spark, pages, fresh_dir(spark, "job"), default_provider=DEFAULT_PROVIDER)
+    result = run_job(
+        spark,
+        pages,
+        fresh_dir(spark, "job"),
+        default_provider=DEFAULT_PROVIDER,
+        backfill_threshold=BACKFILL_THRESHOLD,
+    )
 
     def report(name: str) -> DataFrame:
         return spark.read.parquet(result.reports[name])
@@ -275,7 +330,10 @@ QUERIES: dict[str, Query] = {
     "flatten_events": flatten_events_query,
     "dedup_first_seen": dedup_first_seen,
     "stream_dedup": stream_dedup,
+    "state_dedup": state_dedup,
+    "continuous_ingest": continuous_ingest,
     "backfill_union": backfill_union_query,
+    "newest_page": newest_page,
     "live_window": live_window_query,
     "archive_window": archive_window_query,
     "severity_label": severity_label_query,

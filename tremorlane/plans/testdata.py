@@ -118,7 +118,8 @@ def land_pages(
         )
         .groupBy("poll", "feed", "page")
         .agg(F.sort_array(F.collect_list("event")).alias("result"))
-        .write.partitionBy("poll", "feed")
+        .write.mode("append")
+        .partitionBy("poll", "feed")
         .json(path)
     )
 

@@ -41,10 +41,15 @@ def read_events(spark: SparkSession, path: str, *, malformed: str = "PERMISSIVE"
     return _or_empty(spark, path, FLAT, lambda: reader.json(path))
 
 
-def read_enriched(spark: SparkSession, path: str, schema: str = ENRICHED) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The columns of `schema` of a Parquet table; no rows where there is no table yet."""
     return _or_empty(spark, path, schema, lambda: spark.read.schema(schema).parquet(path))
 
 
+def read_enriched(spark: SparkSession, path: str, schema: str = ENRICHED) -> DataFrame:
+    return read_table(spark, path, schema)
+
+
 def read_csv(spark: SparkSession, path: str, schema: str = CLUSTERED) -> DataFrame:
     """A table written by `write_csv`; line breaks inside fields are kept.
 

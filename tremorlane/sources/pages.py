@@ -33,11 +33,20 @@ def read_pages(
     they came, pretty-printed or not.
     """
     reader: DataFrameReader | DataStreamReader = spark.readStream if streaming else spark.read
-    return _configured(reader, one_document_per_file).json(path)
+    return with_file_place(_configured(reader, one_document_per_file).json(path))
+
+
+def with_file_place(df: DataFrame) -> DataFrame:
+    """`df` with `file`: which file a row is from, in the order in which files came to be."""
+    place = ("file_modification_time", "file_path", "file_block_start")
+    return df.withColumn("file", F.struct(*(F.col(f"_metadata.{name}") for name in place)))
 
 
 def explode_pages(pages: DataFrame) -> DataFrame:
-    """One row per event: poll, feed, page, pos, event.
+    """One row per event: poll, feed, page, file, line, pos, event.
+
+    `file` and `line` order pages that have no number; `line`, which grows
+    along a part of a file, is null on a stream and can be set in its batches.
 
     A page that is not JSON, has no `result` or one that is not a list gives
     no rows. One element that is not an object makes Spark give up the typed
@@ -49,9 +58,13 @@ def explode_pages(pages: DataFrame) -> DataFrame:
         F.filter(elements, lambda text: text.startswith("{")),
         lambda text: F.from_json(text, RAW_EVENT),
     )
+    unset = F.lit(None).cast("bigint")
+    line = unset if pages.isStreaming else F.monotonically_increasing_id()
     return pages.select(
         F.coalesce("poll", F.lit(0)).alias("poll"),
         F.coalesce("feed", F.lit("live")).alias("feed"),
         F.coalesce("page", F.lit(0)).alias("page"),
+        "file",
+        line.alias("line"),
         F.posexplode(F.coalesce("result", salvaged)).alias("pos", "event"),
     )

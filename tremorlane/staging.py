@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_made: list[str] = []
+
 
 def shared_root(spark: SparkSession) -> str:
     """The folder the cluster names in `spark.checkpoint.dir`.
@@ -24,4 +26,29 @@ def shared_root(spark: SparkSession) -> str:
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return f"{shared_root(spark)}/tremorlane/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/tremorlane/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever storage Spark can reach."""
+    place, files = _located(spark, path)
+    return files.exists(place)
+
+
+def clear_staging(spark: SparkSession) -> int:
+    """Delete the folders this process got from `fresh_dir`; gives their number.
+
+    For when the results that read them have been taken.
+    """
+    count = len(_made)
+    while _made:
+        place, files = _located(spark, _made.pop())
+        files.delete(place, True)
+    return count
+
+
+def _located(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())

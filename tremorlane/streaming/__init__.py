@@ -1,14 +1,17 @@
 """Structured Streaming: source, de-duplication, sinks, run control."""
 
-from tremorlane.streaming.dedup import dedup_stream
+from tremorlane.streaming.dedup import dedup_stream, land_first_seen, start_first_seen
 from tremorlane.streaming.queries import run_for, run_to_end, start_monitor, start_parquet
-from tremorlane.streaming.source import read_event_stream
+from tremorlane.streaming.source import read_event_stream, read_landed_stream
 
 __all__ = [
     "dedup_stream",
+    "land_first_seen",
     "read_event_stream",
+    "read_landed_stream",
     "run_for",
     "run_to_end",
+    "start_first_seen",
     "start_monitor",
     "start_parquet",
 ]

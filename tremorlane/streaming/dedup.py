@@ -2,40 +2,84 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from tremorlane.operators.arrivals import first_seen
+from tremorlane.schemas import ddl
+from tremorlane.sources.files import read_table
+from tremorlane.staging import exists
+from tremorlane.streaming.queries import triggered
+
+
+def land_first_seen(
+    batch: DataFrame,
+    batch_id: int,
+    path: str,
+    key: str,
+    arrival: Sequence[str | Column],
+    columns: Sequence[str],
+) -> None:
+    """Write the rows of a micro-batch whose key no earlier batch had, to `batch=<id>`.
+
+    Of several rows of one key the first in `arrival` order is kept; Spark
+    limits each task to its own first row per key before the shuffle, so a key
+    with a large share of a batch is no burden. Known keys are those of the
+    batches below this one, so a batch that is repeated after a failure gives
+    the same rows, and one that was finished is left as it is.
+    """
+    spark = batch.sparkSession
+    folder = f"{path}/batch={batch_id}"
+    if exists(spark, f"{folder}/_SUCCESS"):
+        return
+    kind = batch.schema[key].dataType.simpleString()
+    known = read_table(spark, path, ddl({key: kind, "batch": "BIGINT"}))
+    known = known.where(F.col("batch") < batch_id).select(key)
+    ordered = batch.withColumn("line", F.coalesce("line", F.monotonically_increasing_id()))
+    fresh = first_seen(ordered, key, arrival).select(*columns)
+    fresh.join(known, key, "left_anti").select(*columns).write.mode("overwrite").parquet(folder)
+
 
-SALTS = 64
+def start_first_seen(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    key: str,
+    arrival: Sequence[str | Column],
+    columns: Sequence[str],
+    every_seconds: float | None = None,
+) -> StreamingQuery:
+    """Land `columns` of the first row of every key over the life of `path`.
+
+    The keys that were seen are those of the table itself, one row for each,
+    and read without its other columns. `stream` has a column `line`; where it
+    is null, rows of one file stay in the order in which they were read.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        land_first_seen(batch, batch_id, path, key, arrival, columns)
+
+    writer = stream.writeStream.foreachBatch(write)
+    return triggered(writer, checkpoint, every_seconds).start()
 
 
 def dedup_stream(
     stream: DataFrame,
     key: str = "earthquake_id",
     *,
-    salts: int = SALTS,
     watermark: tuple[str, str] | None = None,
 ) -> DataFrame:
-    """One row per key over the life of the checkpoint.
+    """One row per key over the life of the checkpoint, from Spark's state store.
 
     A key seen in an earlier micro-batch keeps its earlier row; within one
-    batch any of its rows may stay. Two stateful steps: first one row per key
-    and salt, the salt being the task that read the row, then one row per key.
-    A key that holds a large share of a batch is thus reduced in parallel, at
-    the price of a second state entry per key. `salts=0` takes the single step.
-
-    State grows with the number of keys. `watermark=(column, delay)` bounds it
-    to repeats that come within the delay; `column` must be a TIMESTAMP.
+    batch any of its rows may stay: use `start_first_seen` where it must be the
+    first. The state has one entry per key. `watermark=(column, delay)` bounds
+    it to repeats that come within the delay; `column` must be a TIMESTAMP.
     """
     if watermark is not None:
-        stream = stream.withWatermark(*watermark)
-
-    def distinct(df: DataFrame, columns: list[str]) -> DataFrame:
-        if watermark is not None:
-            return df.dropDuplicatesWithinWatermark(columns)
-        return df.dropDuplicates(columns)
-
-    if salts:
-        stream = distinct(
-            stream.withColumn("_salt", F.spark_partition_id() % salts), [key, "_salt"]
-        ).drop("_salt")
-    return distinct(stream, [key])
+        return stream.withWatermark(*watermark).dropDuplicatesWithinWatermark([key])
+    return stream.dropDuplicates([key])

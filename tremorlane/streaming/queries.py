@@ -15,16 +15,22 @@ log = logging.getLogger(__name__)
 TRIGGER_SECONDS = 5
 
 
-def _appending(
-    df: DataFrame, checkpoint: str, every_seconds: float | None
+def triggered(
+    writer: DataStreamWriter, checkpoint: str, every_seconds: float | None
 ) -> DataStreamWriter:
-    """Append-mode writer; without an interval it drains what is there and ends."""
-    writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    """Without an interval the query drains what is there and ends."""
+    writer = writer.option("checkpointLocation", checkpoint)
     if every_seconds is None:
         return writer.trigger(availableNow=True)
     return writer.trigger(processingTime=f"{every_seconds} seconds")
 
 
+def _appending(
+    df: DataFrame, checkpoint: str, every_seconds: float | None
+) -> DataStreamWriter:
+    return triggered(df.writeStream.outputMode("append"), checkpoint, every_seconds)
+
+
 def start_parquet(
     stream: DataFrame, path: str, checkpoint: str, every_seconds: float | None = None
 ) -> StreamingQuery:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tremorlane.schemas import FLAT
+from tremorlane.schemas import FLAT, FLAT_COLUMNS
 
 # About one wave of tasks on a few thousand cores; smaller inputs are taken
 # in one batch.
@@ -33,3 +33,11 @@ def read_event_stream(
     else:
         reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     return reader.json(path)
+
+
+def read_landed_stream(
+    spark: SparkSession, path: str, *, bytes_per_batch: int = BATCH_BYTES
+) -> DataFrame:
+    """Flat events from the Parquet files that arrive under `path`, whatever folders it has."""
+    reader = spark.readStream.schema(FLAT).option("maxBytesPerTrigger", bytes_per_batch)
+    return reader.option("pathGlobFilter", "*.parquet").parquet(path).select(*FLAT_COLUMNS)
