@@ -1,0 +1,180 @@
+"""URL verdicts, benchmark hits and toxicity."""
+
+from __future__ import annotations
+
+import re
+import zlib
+
+import pytest
+
+from tremorlane.llm.decontaminate import contamination, contamination_digest, drop_contaminated
+from tremorlane.llm.toxicity import drop_toxic, fit_toxicity, score_toxicity, text_features
+from tremorlane.llm.url_filter import judge_urls
+
+URLS = {
+    "https://Sub.Example.NET/en/1": ("sub.example.net", "/en/1", "example.net/en/", "allow"),
+    "https://example.net/fr/": ("example.net", "/fr/", "net/", "block"),
+    "http://x.net": ("x.net", "", None, "allow"),
+    "http://a.net?q=/en/": ("a.net", "", None, "allow"),
+    "http://notexample.com/de/": ("notexample.com", "/de/", None, "allow"),
+    "http://m.example.com/de/7#top": ("m.example.com", "/de/7", "example.com/de/", "block"),
+    "http://a.org/fr/casino-bonus": ("a.org", "/fr/casino-bonus", "org/fr/", "allow"),
+    "http://a.com/casino": ("a.com", "/casino", None, "allow"),
+    "http://a.com/casino/casino": ("a.com", "/casino/casino", None, "allow"),
+    "http://a.com/casino?b=BONUS": ("a.com", "/casino", None, "block"),
+    "http://a.com/casinos/bonuses": ("a.com", "/casinos/bonuses", None, "allow"),
+    "http://PORN.example/": ("porn.example", "/", None, "block"),
+    "http://popcorn.example/xporn": ("popcorn.example", "/xporn", None, "allow"),
+    "http://a.com/éporn": ("a.com", "/éporn", None, "block"),
+    "no scheme/porn": ("", "", None, "block"),
+    "http://u://v/w": ("u:", "//v/w", None, "allow"),
+    "a\nb://c/d\ne": ("c", "/d\ne", None, "allow"),
+    "": ("", "", None, "allow"),
+    None: ("", "", None, "allow"),
+}
+
+
+def test_urls(shipped):
+    rows = [(i, url, "host", "verdict") for i, url in enumerate(URLS)] * 2
+    rows.append((None, None, "host", "verdict"))
+    pages = shipped.createDataFrame(rows, "page_id long, url string, host string, verdict string")
+    found = judge_urls(pages).collect()
+    assert len(found) == len(rows)
+    urls = list(URLS)
+    for row in found:
+        url = None if row["page_id"] is None else urls[row["page_id"]]
+        assert (row["host"], row["path"], row["rule"], row["verdict"]) == URLS[url], url
+    assert judge_urls(pages.where("false")).count() == 0
+
+
+def test_own_terms(shipped):
+    pages = shipped.createDataFrame([(1, "http://x/aa-b"), (2, "http://x/aa")], "page_id long, url string")
+    found = judge_urls(pages, rules=(), strict=("b",), soft=("aa", "aa-b"), soft_hits=2)
+    rows = {row["page_id"]: row for row in found.collect()}
+    assert rows[1]["strict_terms"] == ["b"] and rows[1]["soft_terms"] == ["aa", "aa-b"]
+    assert [rows[i]["verdict"] for i in (1, 2)] == ["block", "allow"]
+    assert judge_urls(pages, rules=(), strict=(), soft=()).where("verdict = 'block'").count() == 0
+
+
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def words(text):
+    return WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def plain_hits(text, items, length):
+    doc = words(text)
+    hit, occurring = set(), set()
+    for item_id, item in items:
+        item = words(item)
+        grams = {tuple(item[i : i + length]) for i in range(max(1, len(item) - length + 1))} if item else ()
+        for gram in grams:
+            for i in range(len(doc) - len(gram) + 1):
+                if tuple(doc[i : i + len(gram)]) == gram:
+                    hit.update(range(i, i + len(gram)))
+                    if item_id is not None:
+                        occurring.add(str(item_id))
+    return len(doc), len(hit), sorted(occurring)
+
+
+ITEMS = [
+    (1, "The quick, brown FOX"),
+    (10, "word3 shared passage word4 shared passage word5 shared passage word6 shared passage"),
+    (2, "lazy"),
+    (3, ""),
+    (4, None),
+    (5, "?!"),
+    (None, "jumps over"),
+    (6, "日本語 x"),
+    (6, "日本語"),
+    (7, "ab" * 400),
+]
+
+
+@pytest.mark.parametrize("most", [1 << 20, 1_000])
+def test_contamination(shipped, odd_docs, odd_rows, most):
+    benchmark = shipped.createDataFrame(ITEMS, "item_id long, text string")
+    expected = sorted((doc_id or -1, *plain_hits(text, ITEMS, 10)) for doc_id, text in odd_rows)
+    found = contamination(odd_docs, benchmark, most=most).collect()
+    assert sorted((row[0] or -1, row[1], row[2], list(row[3])) for row in found) == expected
+    texts = dict(odd_rows)
+    for row in found:
+        if row["doc_id"] is not None:
+            raw = (texts[row["doc_id"]] or "").encode()
+            hit = sum(len(words(raw[s["start"] : s["end"]].decode())) for s in row["spans"])
+            assert hit == row["n_hit"]
+    clean = drop_contaminated(odd_docs, benchmark, most=most)
+    assert clean.columns == odd_docs.columns
+    assert sorted((row["doc_id"] or -1) for row in clean.collect()) == [
+        row[0] for row in expected if not row[2]
+    ]
+
+
+def test_no_documents_no_items(shipped, odd_docs, no_docs, odd_rows):
+    benchmark = shipped.createDataFrame(ITEMS, "item_id long, text string")
+    assert contamination(no_docs, benchmark).count() == 0
+    nothing = benchmark.where("false")
+    assert contamination_digest(odd_docs, nothing).where("n_hit > 0 or contaminated").count() == 0
+    assert drop_contaminated(odd_docs, nothing).count() == len(odd_rows)
+
+
+def labelled(n=600):
+    docs, labels = [], []
+    for i in range(n):
+        toxic = i % 5 == 0
+        plain = " ".join(f"w{(i * 31 + k * k) % 97}" for k in range(30))
+        docs.append((i, f"{plain} nasty{i % 3}! {plain}" if toxic else plain))
+        labels.append((i, int(toxic)))
+    return docs, labels
+
+
+def test_toxicity_learns_from_its_own_rows_only(shipped, docs_of):
+    docs, labels = labelled()
+    docs += [(1000, None), (1001, ""), (None, "nasty1"), (1002, "nasty2 " + "filler " * 50_000), (1003, "w5")]
+    docs += [(1003, "w5")]
+    fit = [(i, y) for i, y in labels if zlib.crc32(str(i).encode()) % 5]
+    lies = [(i, 1 - y) for i, y in labels if zlib.crc32(str(i).encode()) % 5 == 0]
+    table = docs_of(docs)
+    schema = "doc_id long, toxic int, score double"
+    honest = shipped.createDataFrame([(*x, 0.0) for x in fit], schema)
+    model = fit_toxicity(table, honest)
+    odd = [(*x, 0.0) for x in [*fit, *lies, (None, 1), (1001, None), fit[0], (77_777, 0)]]
+    assert fit_toxicity(table, shipped.createDataFrame(odd, schema)).weights == pytest.approx(model.weights, abs=0.2)
+
+    rows = score_toxicity(table, model).collect()
+    assert len(rows) == len(docs)
+    truth = dict(labels)
+    for row in rows:
+        assert 0 <= row["score"] <= 1
+        assert row["predicted"] == int(row["score"] >= 0.5)
+        assert row["held_out"] == (
+            row["doc_id"] is not None and zlib.crc32(str(row["doc_id"]).encode()) % 5 == 0
+        )
+        if row["doc_id"] in truth:
+            assert row["predicted"] == truth[row["doc_id"]]
+    by_id = {row["doc_id"]: row["predicted"] for row in rows}
+    assert [by_id[i] for i in (1000, 1001, None, 1002, 1003)] == [0, 0, 1, 1, 0]
+    clean = drop_toxic(table, model)
+    assert clean.columns == table.columns
+    assert clean.count() == sum(not row["predicted"] for row in rows)
+
+
+def test_toxicity_without_examples(shipped, docs_of, no_docs):
+    docs, labels = labelled(40)
+    schema = "doc_id long, toxic int"
+    table = docs_of(docs)
+    for rows in ([], [(i, 0) for i, _ in labels], [(i, 1) for i, _ in labels], [(999, 1), (998, 0)]):
+        model = fit_toxicity(table, shipped.createDataFrame(rows, schema))
+        assert len({row["score"] for row in score_toxicity(table, model).collect()}) == 1
+    model = fit_toxicity(no_docs, shipped.createDataFrame(labels, schema))
+    assert score_toxicity(no_docs, model).count() == 0
+
+
+def test_sample_is_bounded(shipped, docs_of):
+    docs, labels = labelled()
+    model = fit_toxicity(
+        docs_of(docs), shipped.createDataFrame(labels, "doc_id long, toxic int"), 50, 200, 20
+    )
+    assert 0 < len(model.weights) <= 20
+    assert text_features(b"Nasty, nasty!") == {b"nasty", b"nas*", b"nast*"}

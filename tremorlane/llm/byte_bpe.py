@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from tremorlane.llm.common import Remembered, map_slices, utf8
 
-CACHED = 300_000  # words a worker remembers between slices
+CACHED = 150_000  # words a worker remembers between slices
+SLICE = 2 << 20  # bytes of text whose different words are merged together
 
 
 class ByteBpe:
@@ -27,7 +28,8 @@ class ByteBpe:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in fields}
         self.find = regex.compile(pattern).findall
         self.tokens = {rank: token for token, rank in self.ranks.items()}
-        self.letters = [self.ranks[bytes([i])] for i in range(256)]
+        self.letters = np.array([self.ranks[bytes([i])] for i in range(256)])
+        #: Rank of each pair of bytes, the size of the vocabulary where it never merges.
         self.size = max(self.tokens) + 1
         self.merges: dict[int, int] = {}
         for token, rank in self.ranks.items():
@@ -35,70 +37,81 @@ class ByteBpe:
                 left, right = self.ranks.get(token[:i]), self.ranks.get(token[i:])
                 if left is not None and right is not None:
                     self.merges[left * self.size + right] = rank
+        pairs = [
+            self.ranks.get(bytes([a, b]), self.size) for a in range(256) for b in range(256)
+        ]
+        self.pairs = np.array(pairs).reshape(256, 256)
         self.known = Remembered(CACHED)
 
     def replay(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word, as little-endian unsigned 32-bit integers.
 
-        All words lie in one sequence of symbols. An index leads from each
-        mergeable pair, by its rank, to its places; the least rank is taken
-        with all its places from left to right, and only the pairs on either
-        side of a merge are looked up again. Should a merge make a pair of a
-        lower rank, the remaining places wait until that pair is done, so each
-        word sees its merges in the order it would see them alone.
+        The words, none of them empty, lie in one sequence of symbols. An
+        index leads from each mergeable pair, by its rank, to its places; the
+        least rank is taken with all its places from left to right, and only
+        the pairs on either side of a merge are looked up again. Should a
+        merge make a pair of a lower rank, the remaining places wait until
+        that pair is done, so each word sees its merges in the order it would
+        see them alone.
         """
-        merges, size, letters = self.merges, self.size, self.letters
+        if not words:
+            return []
+        merges, size = self.merges, self.size
         ends = list(accumulate(map(len, words)))
-        symbol = [letters[byte] for byte in b"".join(words)]
-        following = list(range(1, len(symbol) + 1))
-        previous = list(range(-1, len(symbol) - 1))
-        for end in ends:
-            if end:
-                following[end - 1] = -1
-            if end < len(symbol):
-                previous[end] = -1
-        places: dict[int, list[int]] = {}
-        for at, after in enumerate(following):
-            if after >= 0:
-                rank = merges.get(symbol[at] * size + symbol[after])
-                if rank is not None:
-                    places.setdefault(rank, []).append(at)
+        codes = np.frombuffer(b"".join(words), np.uint8)
+        total = len(codes)
+        bounds = np.array([0, *ends])
+        after, before = np.arange(1, total + 2), np.arange(-1, total)
+        after[bounds - 1] = before[bounds] = -1
+        rank_at = np.full(total, size)
+        rank_at[:-1] = self.pairs[codes[:-1], codes[1:]]
+        rank_at[bounds[1:] - 1] = size
+        at = np.flatnonzero(rank_at < size)
+        at = at[np.argsort(rank_at[at], kind="stable")]
+        found_ranks, first = np.unique(rank_at[at], return_index=True)
+        places: dict[int, list[int]] = {
+            rank: part.tolist()
+            for rank, part in zip(found_ranks.tolist(), np.split(at, first[1:]), strict=False)
+        }
+        symbol, current = self.letters[codes].tolist(), rank_at.tolist()
+        following, previous = after.tolist(), before.tolist()
         order = list(places)
         heapify(order)
+        find, none = merges.get, size
         while order:
             rank = heappop(order)
             found = places.pop(rank)
             found.sort()
             for done, at in enumerate(found, 1):
-                after = following[at]
-                if after < 0 or symbol[at] < 0:
+                if current[at] != rank:  # merged away, or another pair by now
                     continue
-                if merges.get(symbol[at] * size + symbol[after]) != rank:
-                    continue
-                symbol[at], symbol[after] = rank, -1
-                beyond = following[at] = following[after]
-                earlier = False
+                gone = following[at]
+                symbol[at], symbol[gone], current[gone] = rank, -1, none
+                least = none
+                beyond = following[at] = following[gone]
                 if beyond >= 0:
                     previous[beyond] = at
-                    new = merges.get(rank * size + symbol[beyond])
-                    if new is not None:
-                        earlier = new < rank
-                        if new in places:
-                            places[new].append(at)
+                    least = current[at] = find(rank * size + symbol[beyond], none)
+                    if least != none:
+                        if least in places:
+                            places[least].append(at)
                         else:
-                            places[new] = [at]
-                            heappush(order, new)
-                before = previous[at]
-                if before >= 0:
-                    new = merges.get(symbol[before] * size + rank)
-                    if new is not None:
-                        earlier = earlier or new < rank
+                            places[least] = [at]
+                            heappush(order, least)
+                else:
+                    current[at] = none
+                ahead = previous[at]
+                if ahead >= 0:
+                    new = current[ahead] = find(symbol[ahead] * size + rank, none)
+                    if new != none:
                         if new in places:
-                            places[new].append(before)
+                            places[new].append(ahead)
                         else:
-                            places[new] = [before]
+                            places[new] = [ahead]
                             heappush(order, new)
-                if earlier and done < len(found):
+                        if new < least:
+                            least = new
+                if least < rank and done < len(found):
                     places[rank] = found[done:]
                     heappush(order, rank)
                     break
@@ -147,7 +160,7 @@ def bpe_encode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
 
     source = docs.select(F.col("doc_id").cast("long"), utf8("text").alias("text"))
-    return map_slices(source, run, "doc_id long, ids binary", "text")
+    return map_slices(source, run, "doc_id long, ids binary", "text", SLICE)
 
 
 def bpe_decode(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
@@ -181,7 +194,7 @@ def bpe_round_trip(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
         )
 
     source = docs.select(F.col("doc_id").cast("long"), utf8("text").alias("text"))
-    return map_slices(source, run, "doc_id long, ids binary, decoded binary", "text")
+    return map_slices(source, run, "doc_id long, ids binary, decoded binary", "text", SLICE)
 
 
 def bpe_digests(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:

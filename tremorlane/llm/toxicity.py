@@ -21,6 +21,7 @@ FEATURES = 4_000
 STARTS = (3, 4, 5, 6, 7, 8)  # bytes of a word's start that are features of their own
 LEAST_CHI2 = 6.0  # by how much a feature's share must differ between the two, at least
 LEAST_ROWS = 5  # rows of the sample that a feature must occur in
+SAMPLE_SLICE = 256 << 10  # bytes of text whose features are held at a time
 STEPS = 400
 RATE = 0.05
 DECAY = 1e-5
@@ -134,7 +135,13 @@ def fit_toxicity(
         return pa.RecordBatch.from_arrays([batch.column("_p"), listed], ["positive", "features"])
 
     sampled = staged(
-        map_slices(texts.select("_p", "text"), found, "positive boolean, features array<binary>", "text"),
+        map_slices(
+            texts.select("_p", "text"),
+            found,
+            "positive boolean, features array<binary>",
+            "text",
+            SAMPLE_SLICE,
+        ),
         "sample",
     )
     totals = sampled.agg(F.count_if("positive"), F.count_if(~F.col("positive"))).first()
@@ -157,9 +164,10 @@ def fit_toxicity(
     place = docs.sparkSession.sparkContext.broadcast({name: i for i, name in enumerate(names)})
 
     def placed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        # Row by row, as the features of a whole batch would take much memory.
         sets = [
-            [place.value[x] for x in row if x in place.value]
-            for row in batch.column("features").to_pylist()
+            [place.value[x] for x in row.as_py() if x in place.value]
+            for row in batch.column("features")
         ]
         return pa.RecordBatch.from_arrays(
             [batch.column("positive"), pa.array(sets, pa.list_(pa.int32()))], ["positive", "at"]
