@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import base64
 from functools import cache
-from heapq import heapify, heappop, heappush
+from heapq import heappop, heappush
 from itertools import accumulate
 
 import numpy as np
@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from tremorlane.llm.common import Remembered, map_slices, utf8
 
-CACHED = 150_000  # words a worker remembers between slices
-SLICE = 2 << 20  # bytes of text whose different words are merged together
+CACHED = 300_000  # words a worker remembers between slices
+_FEW = 24  # places of a pair that are quicker to merge in turn
+SLICE = 4 << 20  # bytes of text whose different words are merged together
 
 
 class ByteBpe:
@@ -27,98 +28,71 @@ class ByteBpe:
             fields = (line.split() for line in lines if line.strip())
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in fields}
         self.find = regex.compile(pattern).findall
-        self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.letters = np.array([self.ranks[bytes([i])] for i in range(256)])
         #: Rank of each pair of bytes, the size of the vocabulary where it never merges.
-        self.size = max(self.tokens) + 1
+        self.size = max(self.ranks.values()) + 1
+        self.tokens: list[bytes | None] = [None] * self.size
+        for token, rank in self.ranks.items():
+            self.tokens[rank] = token
         self.merges: dict[int, int] = {}
         for token, rank in self.ranks.items():
             for i in range(1, len(token)):
                 left, right = self.ranks.get(token[:i]), self.ranks.get(token[i:])
                 if left is not None and right is not None:
                     self.merges[left * self.size + right] = rank
+        left, right = np.divmod(np.array(list(self.merges), np.int64), self.size)
+        ranks = np.array(list(self.merges.values()), np.int64)
+        self._by_left = self._sides(left, right, ranks)
+        self._by_right = self._sides(right, left, ranks)
+        self._table = np.full(self.size + 1, self.size)  # its last entry is for no symbol
         pairs = [
             self.ranks.get(bytes([a, b]), self.size) for a in range(256) for b in range(256)
         ]
         self.pairs = np.array(pairs).reshape(256, 256)
         self.known = Remembered(CACHED)
 
+    def _sides(self, one: np.ndarray, other: np.ndarray, ranks: np.ndarray) -> tuple:
+        """The merges by one of their symbols: where its own begin, the other symbols, the ranks."""
+        by = np.argsort(one, kind="stable")
+        return np.searchsorted(one[by], np.arange(self.size + 1)), other[by], ranks[by]
+
+    def _looked_up(self, sides: tuple, symbol: int, others: np.ndarray) -> np.ndarray:
+        begin, known, ranks = sides
+        own = slice(begin[symbol], begin[symbol + 1])
+        self._table[known[own]] = ranks[own]
+        found = self._table[others]
+        self._table[known[own]] = self.size
+        return found
+
+    def with_left(self, left: int, others: np.ndarray) -> np.ndarray:
+        """Ranks of the pairs of one left symbol with others; -1 stands for none."""
+        return self._looked_up(self._by_left, left, others)
+
+    def with_right(self, right: int, others: np.ndarray) -> np.ndarray:
+        """Ranks of the pairs of others with one right symbol."""
+        return self._looked_up(self._by_right, right, others)
+
     def replay(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word, as little-endian unsigned 32-bit integers.
 
         The words, none of them empty, lie in one sequence of symbols. An
         index leads from each mergeable pair, by its rank, to its places; the
-        least rank is taken with all its places from left to right, and only
-        the pairs on either side of a merge are looked up again. Should a
-        merge make a pair of a lower rank, the remaining places wait until
-        that pair is done, so each word sees its merges in the order it would
-        see them alone.
+        least rank is taken with all its places, and only the pairs on either
+        side of a merge are looked up again.
         """
         if not words:
             return []
-        merges, size = self.merges, self.size
         ends = list(accumulate(map(len, words)))
-        codes = np.frombuffer(b"".join(words), np.uint8)
-        total = len(codes)
-        bounds = np.array([0, *ends])
-        after, before = np.arange(1, total + 2), np.arange(-1, total)
-        after[bounds - 1] = before[bounds] = -1
-        rank_at = np.full(total, size)
-        rank_at[:-1] = self.pairs[codes[:-1], codes[1:]]
-        rank_at[bounds[1:] - 1] = size
-        at = np.flatnonzero(rank_at < size)
-        at = at[np.argsort(rank_at[at], kind="stable")]
-        found_ranks, first = np.unique(rank_at[at], return_index=True)
-        places: dict[int, list[int]] = {
-            rank: part.tolist()
-            for rank, part in zip(found_ranks.tolist(), np.split(at, first[1:]), strict=False)
-        }
-        symbol, current = self.letters[codes].tolist(), rank_at.tolist()
-        following, previous = after.tolist(), before.tolist()
-        order = list(places)
-        heapify(order)
-        find, none = merges.get, size
-        while order:
-            rank = heappop(order)
-            found = places.pop(rank)
-            found.sort()
-            for done, at in enumerate(found, 1):
-                if current[at] != rank:  # merged away, or another pair by now
-                    continue
-                gone = following[at]
-                symbol[at], symbol[gone], current[gone] = rank, -1, none
-                least = none
-                beyond = following[at] = following[gone]
-                if beyond >= 0:
-                    previous[beyond] = at
-                    least = current[at] = find(rank * size + symbol[beyond], none)
-                    if least != none:
-                        if least in places:
-                            places[least].append(at)
-                        else:
-                            places[least] = [at]
-                            heappush(order, least)
-                else:
-                    current[at] = none
-                ahead = previous[at]
-                if ahead >= 0:
-                    new = current[ahead] = find(symbol[ahead] * size + rank, none)
-                    if new != none:
-                        if new in places:
-                            places[new].append(ahead)
-                        else:
-                            places[new] = [ahead]
-                            heappush(order, new)
-                        if new < least:
-                            least = new
-                if least < rank and done < len(found):
-                    places[rank] = found[done:]
-                    heappush(order, rank)
-                    break
-        flat = np.array(symbol, np.int64)
-        alive = flat >= 0
+        line = _Line(self, np.frombuffer(b"".join(words), np.uint8), np.array([0, *ends]))
+        while line.order:
+            rank = heappop(line.order)
+            at = np.unique(np.concatenate(line.places.pop(rank)))
+            at = at[line.current[at] == rank]
+            if len(at) <= _FEW or not line.merge_all(rank, at):
+                line.merge_in_turn(rank, at.tolist())
+        alive = line.symbol >= 0
         upto = np.r_[0, np.cumsum(alive)][[0, *ends]].tolist()
-        ids = flat[alive].astype("<u4").tobytes()
+        ids = line.symbol[alive].astype("<u4").tobytes()
         return [ids[4 * a : 4 * b] for a, b in zip(upto, upto[1:], strict=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -139,6 +113,100 @@ class ByteBpe:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
+class _Line:
+    """Symbols of many words, linked to their neighbours, and the index of their pairs."""
+
+    def __init__(self, coder: ByteBpe, codes: np.ndarray, bounds: np.ndarray):
+        self.coder, self.none = coder, coder.size
+        total = len(codes)
+        self.symbol = coder.letters[codes]
+        self.following, self.previous = np.arange(1, total + 2), np.arange(-1, total)
+        self.following[bounds - 1] = self.previous[bounds] = -1
+        #: Rank of the pair that begins at a place, `none` where there is none to merge.
+        self.current = np.full(total, self.none)
+        self.current[:-1] = coder.pairs[codes[:-1], codes[1:]]
+        self.current[bounds[1:] - 1] = self.none
+        self.places: dict[int, list[np.ndarray]] = {}
+        self.order: list[int] = []
+        at = np.flatnonzero(self.current < self.none)
+        self._enter(self.current[at], at)
+
+    def _enter(self, ranks: np.ndarray, at: np.ndarray) -> None:
+        by = np.argsort(ranks, kind="stable")
+        ranks, at = ranks[by], at[by]
+        heads = np.flatnonzero(np.r_[True, ranks[1:] != ranks[:-1]]) if len(at) else []
+        tails = [*heads[1:], len(at)]
+        for rank, a, b in zip(ranks[heads].tolist() if len(at) else [], heads, tails, strict=False):
+            if rank in self.places:
+                self.places[rank].append(at[a:b])
+            else:
+                self.places[rank] = [at[a:b]]
+                heappush(self.order, rank)
+
+    def merge_all(self, rank: int, at: np.ndarray) -> bool:
+        """Merge a pair at all its places at once; False where they must be taken in turn.
+
+        That is where places overlap, or where a merge makes a pair of a lower
+        rank, which has to come before the places that follow.
+        """
+        gone = self.following[at]
+        if (gone[:-1] == at[1:]).any():
+            return False
+        beyond, ahead = self.following[gone], self.previous[at]
+        right = np.where(beyond >= 0, self.symbol[beyond], -1)
+        left = np.where(ahead >= 0, self.symbol[ahead], -1)
+        after = self.coder.with_left(rank, right)
+        before = self.coder.with_right(rank, left)
+        twins = np.flatnonzero(beyond[:-1] == at[1:])  # merges side by side
+        before[twins + 1] = self.none
+        both = self.coder.merges.get(rank * self.none + rank, self.none)
+        if after.min() < rank or before.min() < rank or (len(twins) and both < rank):
+            return False
+        after[twins] = both
+        self.symbol[at], self.symbol[gone], self.current[gone] = rank, -1, self.none
+        self.following[at] = beyond
+        linked = beyond >= 0
+        self.previous[beyond[linked]] = at[linked]
+        self.current[at] = after
+        linked = ahead >= 0
+        linked[twins + 1] = False
+        self.current[ahead[linked]] = before[linked]
+        new, ready = np.r_[after, before[linked]], np.r_[at, ahead[linked]]
+        found = new < self.none
+        self._enter(new[found], ready[found])
+        return True
+
+    def merge_in_turn(self, rank: int, found: list[int]) -> None:
+        """Merge a pair from left to right, as far as no lower rank comes up."""
+        symbol, current, find = self.symbol, self.current, self.coder.merges.get
+        none = self.none
+        for done, at in enumerate(found, 1):
+            if current[at] != rank:
+                continue
+            gone = int(self.following[at])
+            beyond, ahead = int(self.following[gone]), int(self.previous[at])
+            symbol[at], symbol[gone], current[gone] = rank, -1, none
+            self.following[at] = beyond
+            after = before = none
+            if beyond >= 0:
+                self.previous[beyond] = at
+                after = find(rank * none + int(symbol[beyond]), none)
+            current[at] = after
+            if ahead >= 0:
+                before = current[ahead] = find(int(symbol[ahead]) * none + rank, none)
+            for new, place in ((after, at), (before, ahead)):
+                if new < none:
+                    if new in self.places:
+                        self.places[new].append(np.array([place]))
+                    else:
+                        self.places[new] = [np.array([place])]
+                        heappush(self.order, new)
+            if min(after, before) < rank and done < len(found):
+                self.places[rank] = [np.array(found[done:])]
+                heappush(self.order, rank)
+                return
+
+
 @cache
 def _coder(path: str, pattern: str) -> ByteBpe:
     return ByteBpe(path, pattern)
