@@ -165,6 +165,14 @@ _FLAT_COLUMNS = (
 )
 
 ORACLES: dict[str, str] = {
+    "job_rerun": f"""
+with {_QUIET}, {_enriched_from('fresh')}, {_CLEAN}
+select run, (select count(*) from clean) as n from (values (1), (2)) as runs(run)""",
+    "nothing_left": f"""
+{_ENRICHED},
+removed as (select * from enriched where 0.0::double <> 0.0::double)
+select report, (select count(*) from removed) as n
+from (values ('clustered'), ('magnitude_hist'), ('severity_counts'), ('map_points')) as r(report)""",
     "event_report": f"""
 with {_QUIET}, {_enriched_from('fresh')}, {_CLEAN}, {_HISTOGRAM}
 select 'severity_counts' as report, severity as item, n from ({_SEVERITY_COUNTS})

@@ -13,6 +13,7 @@ from tremorlane.operators import (
     archive_window,
     backfill_union,
     clean_events,
+    cluster_events,
     cluster_quality,
     cluster_sizes,
     enrich,
@@ -325,6 +326,37 @@ def event_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, lines)
 
 
+def job_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of the job into one folder: the second starts afresh, the first's tables stay."""
+    pages, out = fresh_dir(spark, "pages"), fresh_dir(spark, "job")
+    land_pages(spark, sf_dir, QUIET_FIRST_POLL, pages)
+    results = [run_job(spark, pages, out, default_provider=DEFAULT_PROVIDER) for _ in range(2)]
+    counts = [
+        spark.read.parquet(result.clustered).select(
+            F.lit(number).alias("run"), F.count("*").alias("n")
+        )
+        for number, result in enumerate(results, 1)
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def nothing_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the reports hold where cleaning removes every event: no row, and zero counts."""
+    nowhere = {"latitude": F.lit(0.0), "longitude": F.lit(0.0)}
+    events = clean_events(_enriched(spark, sf_dir).withColumns(nowhere))
+    tables = {
+        "clustered": cluster_events(events),
+        "magnitude_hist": magnitude_histogram(events),
+        "severity_counts": severity_counts(events).where("n > 0"),
+        "map_points": map_points(events),
+    }
+    counts = [
+        table.select(F.lit(name).alias("report"), F.count("*").alias("n"))
+        for name, table in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 QUERIES: dict[str, Query] = {
     "explode_pages": explode_pages_query,
     "flatten_events": flatten_events_query,
@@ -353,4 +385,6 @@ QUERIES: dict[str, Query] = {
     "cluster_sizes": cluster_sizes_query,
     "cluster_check": cluster_check,
     "event_report": event_report,
+    "job_rerun": job_rerun,
+    "nothing_left": nothing_left,
 }
