@@ -1,0 +1,93 @@
+"""Near copies against brute-force Jaccard of all pairs."""
+
+from __future__ import annotations
+
+import random
+
+import corpus_pipeline
+from tests.llm.test_simhash import components
+from tremorlane.llm.exact_dedup import drop_exact_copies
+from tremorlane.llm.near_dedup import drop_near_texts
+
+SF = "/root/testdata/sf0.01"
+
+
+def plain_words(text):
+    return [w.decode() for w in (text or "").encode().lower().split()]
+
+
+def plain_shingles(text):
+    words = plain_words(text)
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def stay(rows):
+    """Places of the rows that stay: of each component the least doc_id, null last."""
+    sets = [plain_shingles(text) for _, text in rows]
+
+    def linked(a, b):
+        both = len(sets[a] & sets[b])
+        return 5 * both >= 4 * (len(sets[a]) + len(sets[b]) - both)
+
+    found = components(range(len(rows)), linked)
+    least = {}
+    for at, root in found.items():
+        key = (rows[at][0] is None, rows[at][0] or 0, plain_words(rows[at][1]))
+        least[root] = min(least.get(root, (key, at)), (key, at))
+    return sorted(at for _, at in least.values())
+
+
+def group(size, words=100, seed=7):
+    """Copies of one text with up to four words changed, and others with a passage of it."""
+    random.seed(seed)
+    base = [f"b{i}" for i in range(words)]
+    rows = []
+    for i in range(size):
+        copy = list(base)
+        for at in random.sample(range(words), random.randint(0, 4)):
+            copy[at] = f"c{i}x{at}"
+        rows.append((1000 + i, " ".join(copy)))
+        rows.append((5000 + i, " ".join([*base[:40], *(f"o{i}y{k}" for k in range(30))])))
+    return rows
+
+
+def test_stage_against_all_pairs(shipped):
+    docs = drop_exact_copies(shipped.read.parquet(f"{SF}/documents.parquet")).cache()
+    rows = [(row["doc_id"], row["text"]) for row in docs.collect()]
+    expected = sorted(rows[at][0] for at in stay(rows))
+    stage = dict(corpus_pipeline.STAGES)["simhash_dedup"]
+    kept = stage(shipped, docs, SF)
+    assert kept.columns == docs.columns
+    assert sorted(row["doc_id"] for row in kept.collect()) == expected
+    assert len(rows) - len(expected) == 5
+
+
+def test_groups_against_all_pairs(docs_of):
+    rows = group(40)
+    expected = sorted(rows[at][0] for at in stay(rows))
+    kept = drop_near_texts(docs_of(rows))
+    assert sorted(row["doc_id"] for row in kept.collect()) == expected
+
+
+def test_rows_without_an_id_and_of_one_id(docs_of, no_docs):
+    one, other = (" ".join(f"{c}{i}" for i in range(60)) for c in "pq")
+    rows = [
+        (None, one),
+        (None, f"{one} tail"),
+        (5, f"{other} more"),
+        (None, other.upper()),
+        (5, f"head {one}"),
+        (9, other),
+        (9, "a text of its own"),
+        (9, "a text of its own"),
+        (9, "A text  of its own"),
+        (None, ""),
+        (3, None),
+        (None, "nothing like the others is in here"),
+        (None, "nothing like the others is in here"),
+    ]
+    found = [(row["doc_id"], row["text"]) for row in drop_near_texts(docs_of(rows)).collect()]
+    plain = sorted((doc_id or 0, plain_words(text)) for doc_id, text in found)
+    assert plain == sorted((rows[at][0] or 0, plain_words(rows[at][1])) for at in stay(rows))
+    assert len(found) == 5
+    assert drop_near_texts(no_docs).count() == 0
