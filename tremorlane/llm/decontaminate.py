@@ -19,6 +19,7 @@ WINDOW = 10
 #: Windows of so many bytes go into one automaton, which takes some 50 bytes for each.
 PATTERN_BYTES = 4 << 20
 _CUTS = bytes(i if 0x30 <= i <= 0x39 or 0x61 <= i <= 0x7A or i >= 0x80 else 0x20 for i in range(256))
+_MOST = 1 << 14  # windows of an item made at a time
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 Runs = list[tuple[int, int]]
@@ -29,25 +30,24 @@ def words_of(text: bytes) -> list[bytes]:
     return text.lower().translate(_CUTS).split()
 
 
-def windows(text: bytes, length: int = WINDOW) -> set[bytes]:
-    """The windows of an item, each as words with one space around and between them."""
+def windows(text: bytes, length: int = WINDOW) -> Iterator[set[bytes]]:
+    """The windows of an item, `_MOST` at a time, as words with one space around and between."""
     words = words_of(text)
-    if not words:
-        return set()
-    count = max(1, len(words) - length + 1)
-    return {b" %b " % b" ".join(words[i : i + length]) for i in range(count)}
+    count = max(1, len(words) - length + 1) if words else 0
+    for first in range(0, count, _MOST):
+        some = range(first, min(first + _MOST, count))
+        yield {b" %b " % b" ".join(words[i : i + length]) for i in some}
 
 
 @lru_cache(maxsize=1)
-def automaton(items: tuple[tuple[str | None, bytes], ...], length: int) -> ahocorasick.Automaton:
-    """All windows of the items; each leads to its items, its words and its size.
+def automaton(block: Broadcast) -> ahocorasick.Automaton:
+    """All windows of a block; each leads to its items, its words and its size.
 
     Texts are matched as one character per byte, which UTF-8 allows.
     """
     owners: dict[bytes, set[str | None]] = defaultdict(set)
-    for item_id, text in items:
-        for window in windows(text, length):
-            owners[window].add(item_id)
+    for item_id, window in block.value:
+        owners[window].add(item_id)
     built = ahocorasick.Automaton()
     for window, ids in owners.items():
         value = (tuple(ids), window.count(b" ") - 1, len(window))
@@ -115,10 +115,10 @@ _STATE_DDL = f"doc_id long, text binary, runs {_PAIRS_DDL}, items array<string>"
 _RESULT_DDL = f"doc_id long, n_words long, n_hit long, items array<string>, spans {_PAIRS_DDL}"
 
 
-def _scan(state: DataFrame, block: Broadcast, window: int, last: bool) -> DataFrame:
+def _scan(state: DataFrame, block: Broadcast, last: bool) -> DataFrame:
     def row(doc_id, text, runs, items):
         words = words_of(text)
-        new, ids = hits(words, automaton(block.value, window))
+        new, ids = hits(words, automaton(block))
         runs = joined([*((run["start"], run["end"]) for run in runs), *new])
         items = sorted({*items, *ids} - {None})
         if not last:
@@ -141,20 +141,41 @@ def _scan(state: DataFrame, block: Broadcast, window: int, last: bool) -> DataFr
     return state.mapInArrow(run, _RESULT_DDL if last else _STATE_DDL)
 
 
-def _blocks(benchmark: DataFrame, window: int, most: int) -> Iterator[Callable[[], Broadcast]]:
-    """The benchmark in parts of some `most` bytes of windows, each brought over when called."""
-    context = benchmark.sparkSession.sparkContext
+def _exploded(benchmark: DataFrame, window: int) -> DataFrame:
+    """(item_id, window): the different windows of the different items."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            items = zip(*(batch.column(c).to_pylist() for c in ("item_id", "text")), strict=True)
+            for item_id, text in items:
+                for some in windows(text, window):
+                    ids = pa.array([item_id] * len(some), pa.string())
+                    found = pa.array(some, pa.binary())
+                    yield pa.RecordBatch.from_arrays([ids, found], ["item_id", "window"])
+
     items = benchmark.select(
         F.col("item_id").cast("string").alias("item_id"), utf8("text").alias("text")
     )
-    size = items.agg(F.sum(F.octet_length("text") * window)).first()[0] or 0
+    return items.distinct().mapInArrow(run, "item_id string, window binary").distinct()
+
+
+def _blocks(benchmark: DataFrame, window: int, most: int) -> Iterator[Callable[[], Broadcast]]:
+    """The windows in parts of some `most` bytes, ids included, each brought over when called.
+
+    They are dealt by window and id, so neither repeated or long items nor a
+    window of many items make a part larger.
+    """
+    context = benchmark.sparkSession.sparkContext
+    found = staged(_exploded(benchmark, window), "windows")
+    bytes_of = F.octet_length("window") + F.coalesce(F.octet_length("item_id"), F.lit(0))
+    size = found.agg(F.sum(bytes_of)).first()[0] or 0
     count = 1 if size <= most else -(-2 * size // most)
-    dealt = items.withColumn("block", F.expr(f"pmod(xxhash64(item_id, text), {count})"))
+    dealt = found.withColumn("block", F.expr(f"pmod(xxhash64(item_id, window), {count})"))
     for number in range(count):
-        part = dealt.where(F.col("block") == number).select("item_id", "text")
+        part = dealt.where(F.col("block") == number).select("item_id", "window")
 
         def collect(part=part):
-            rows = tuple((row["item_id"], bytes(row["text"])) for row in part.collect())
+            rows = [(row["item_id"], bytes(row["window"])) for row in part.collect()]
             return context.broadcast(rows)
 
         yield collect
@@ -174,9 +195,9 @@ def contamination(
     as often as they come. An empty table of documents gives no rows, an empty
     benchmark no hits. Only ids and texts are read.
 
-    The size of the benchmark is measured first. Up to `most` bytes of windows
-    it is one automaton, which every task builds from a broadcast, and the
-    texts are scanned once. Beyond that it is dealt into blocks of that size,
+    The items are cut into their different windows in Spark and these are
+    measured first. Up to `most` bytes of them are one automaton, which every task builds from a broadcast, and the
+    texts are scanned once. Beyond that they are dealt into blocks of that size,
     which are collected, broadcast and scanned for one after the other.
     """
     blocks = list(_blocks(benchmark, window, most))
@@ -187,7 +208,7 @@ def contamination(
         F.expr("cast(array() as array<string>)").alias("items"),
     )
     for block in blocks:
-        state = _scan(state, block(), window, last=block is blocks[-1])
+        state = _scan(state, block(), last=block is blocks[-1])
         if block is not blocks[-1]:
             state = staged(state, "scanned")
     return state
@@ -214,7 +235,7 @@ def drop_contaminated(
         shared = block()
 
         def clean(texts: list[bytes], shared=shared) -> list[bool]:
-            machine = automaton(shared.value, window)
+            machine = automaton(shared)
             return [not hits(words_of(text), machine)[0] for text in texts]
 
         kept = filter_texts(staged(kept, "clean") if number else kept, clean)
