@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tremorlane.llm.byte_bpe import bpe_digests
 from tremorlane.llm.decontaminate import contamination_digest
 from tremorlane.llm.exact_dedup import exact_copies
+from tremorlane.llm.forced_boundary import boundary_digests
 from tremorlane.llm.simhash import simhash_components
 from tremorlane.llm.substring_dedup import repeat_digest
 from tremorlane.llm.token_counts import token_counts
@@ -21,6 +22,7 @@ from tremorlane.llm.warc import archive_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+BYTE_PAIRS = "byte_bpe_50k.json"
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 WORD_PIECES = "word_bpe_49k.json"
 PIECES = "piece_bpe_32k.model"
@@ -84,6 +86,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies(table(spark, sf_dir, "documents"))
 
 
+def op12_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return boundary_digests(docs, public_tokenizers.path(BYTE_PAIRS))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_token_store": op2_token_store,
@@ -95,4 +102,5 @@ QUERIES: dict[str, Query] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_forced_boundary_bpe": op12_forced_boundary_bpe,
 }

@@ -12,20 +12,15 @@ _MASK = np.array([(1 << 8 * i) - 1 for i in range(8)] + [2**64 - 1], np.uint64)
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
-def distinct_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """The different words of all texts, each word's place among them, and words before each text.
+def distinct_parts(
+    joined: bytes, starts: np.ndarray, ends: np.ndarray
+) -> tuple[list[bytes], np.ndarray]:
+    """The different parts of a sequence of bytes, and each part's place among them.
 
-    Words are runs without ASCII white space. They are brought together by a
-    64-bit mix of their bytes and then compared in full.
+    Parts are brought together by a 64-bit mix of their bytes and then
+    compared in full.
     """
-    joined = b" %b " % b" ".join(texts)
-    gap = _GAP[np.frombuffer(joined, np.uint8)]
-    edges = np.flatnonzero(gap[1:] != gap[:-1]) + 1
-    starts, ends = edges[0::2], edges[1::2]
     lengths = ends - starts
-    at = np.cumsum([1] + [len(text) + 1 for text in texts])
-    before = np.searchsorted(starts, at)
-
     padded = joined + bytes(8 * _LANES)
     view = np.ndarray(len(joined) + 8 * (_LANES - 1) + 1, "<u8", padded, strides=(1,))
     lanes = [
@@ -47,12 +42,26 @@ def distinct_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndar
     same = same.all() and all(
         unique[i] == word for i, word in zip(place[long].tolist(), words, strict=True)
     )
-    if not same:  # two words with one mix
-        split = [word for text in texts for word in text.split()]
-        unique = sorted(set(split))
-        number = {word: i for i, word in enumerate(unique)}
-        place = np.fromiter(map(number.__getitem__, split), np.int64, len(split))
-    return unique, place, before
+    if not same:  # two parts with one mix
+        parts = [joined[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        unique = sorted(set(parts))
+        number = {part: i for i, part in enumerate(unique)}
+        place = np.fromiter(map(number.__getitem__, parts), np.int64, len(parts))
+    return unique, place
+
+
+def distinct_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The different words of all texts, each word's place among them, and words before each text.
+
+    Words are runs without ASCII white space.
+    """
+    joined = b" %b " % b" ".join(texts)
+    gap = _GAP[np.frombuffer(joined, np.uint8)]
+    edges = np.flatnonzero(gap[1:] != gap[:-1]) + 1
+    starts, ends = edges[0::2], edges[1::2]
+    at = np.cumsum([1] + [len(text) + 1 for text in texts])
+    unique, place = distinct_parts(joined, starts, ends)
+    return unique, place, np.searchsorted(starts, at)
 
 
 def spread(values: list[bytes], place: np.ndarray, before: np.ndarray) -> list[bytes]:
