@@ -62,7 +62,7 @@ class BoundaryBpe:
     text; otherwise they become their tokens, as the library does.
     """
 
-    def __init__(self, path: str, specials: bool = True):
+    def __init__(self, path: str, specials: bool = True, cached: int = CACHED):
         with open(path, encoding="utf-8") as file:
             told = json.load(file)
         self._check(path, told)
@@ -100,7 +100,7 @@ class BoundaryBpe:
         self.ascii_ends, self.wide_ends = _word_ends()
         self.ascii_ends &= ~self.inside
         self.wide_ends &= ~self.inside
-        self.words, self.fragments = Remembered(CACHED), Remembered(CACHED)
+        self.words, self.fragments = Remembered(cached), Remembered(cached)
 
     @staticmethod
     def _check(path: str, told: dict) -> None:

@@ -102,6 +102,81 @@ select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
        coalesce(n_hit, 0) > 0 as contaminated
 from docs left join hit using (doc_id) left join listed using (doc_id)"""
 
+def _field(column: str) -> str:
+    text = f"{column}::varchar"
+    return f"coalesce(strlen({text})::varchar || ':' || {text}, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    columns = ("doc_id", "source", "lang", n_chars, "text")
+    return f"sha256({' || '.join(map(_field, columns))})"
+
+
+_CRC = """xor(4294967295, list_reduce(
+  list_transform(string_split(doc_id::varchar, ''), lambda c: ord(c)::bigint),
+  lambda crc, byte: list_reduce(
+    range(8), lambda rest, i: xor(rest >> 1, 3988292384 * (rest & 1)), xor(crc, byte)),
+  4294967295::bigint))"""
+
+_MANIFEST = f"""
+with recursive leaves as (
+  select doc_id, tree, leaf, claim, row_number() over (order by tree, doc_id nulls first, leaf) as r,
+         row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as place
+  from (select doc_id, coalesce('=' || lang, '') as tree, {_leaf("n_chars")} as leaf,
+               case when {_CRC} % 7 = 0 then {_leaf("(n_chars + 1)")}
+                    else {_leaf("n_chars")} end as claim
+        from documents)
+),
+low as (
+  select 0 as level, tree, place, leaf as node from leaves
+  union all
+  select any_value(level) + 1, tree, place // 2, sha256(string_agg(node, '' order by place))
+  from (select *, count(*) over (partition by tree) as nodes from low)
+  where nodes > 1 group by tree, place // 2
+),
+trees as (
+  select tree, max(level) as height, arg_max(node, level) as subroot,
+         row_number() over (order by tree) - 1 as place
+  from low group by tree
+),
+high as (
+  select 0 as level, place, subroot as node from trees
+  union all
+  select any_value(level) + 1, place // 2, sha256(string_agg(node, '' order by place))
+  from (select *, count(*) over () as nodes from high)
+  where nodes > 1 group by place // 2
+),
+top as (select max(level) as height, arg_max(node, level) as root from high),
+steps as (
+  select r, spot.level as step, sibling.node as other, spot.place & 1 as side
+  from (select r, tree, level, leaves.place >> level as place
+        from leaves join (select tree, unnest(range(height)) as level from trees) using (tree)) as spot
+  left join low as sibling
+    on sibling.tree = spot.tree and sibling.level = spot.level and sibling.place = xor(spot.place, 1)
+  union all
+  select r, spot.height + spot.level, sibling.node, spot.place & 1
+  from (select r, height, level, trees.place >> level as place
+        from leaves join trees using (tree),
+             (select unnest(range(height)) as level from top)) as spot
+  left join high as sibling
+    on sibling.level = spot.level and sibling.place = xor(spot.place, 1)
+),
+folds as (
+  select r, 0 as step, claim as node from leaves
+  union all
+  select folds.r, folds.step + 1,
+         sha256(case when other is null then node when side = 1 then other || node
+                     else node || other end)
+  from folds join steps on steps.r = folds.r and steps.step = folds.step
+)
+select doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) as proof_sha256, folded_root,
+       folded_root = root as verified
+from leaves join trees using (tree)
+join (select r, arg_max(node, step) as folded_root from folds group by r) using (r)
+left join (select r, string_agg(other, '' order by step) as proof from steps group by r) using (r),
+top"""
+
+
 ORACLES: dict[str, str] = {
     "op3_warc": _ARCHIVE,
     "op5_url_filter": _URLS,
@@ -117,4 +192,5 @@ select doc_id,
        doc_id = min(doc_id) over w as kept,
        sha256(t) as text_sha256
 from texts window w as (partition by t)""",
+    "op13_merkle_manifest": _MANIFEST,
 }

@@ -8,10 +8,12 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tremorlane.llm.alignment import align_tokens
 from tremorlane.llm.byte_bpe import bpe_digests
 from tremorlane.llm.decontaminate import contamination_digest
 from tremorlane.llm.exact_dedup import exact_copies
 from tremorlane.llm.forced_boundary import boundary_digests
+from tremorlane.llm.merkle import manifest_digest
 from tremorlane.llm.simhash import simhash_components
 from tremorlane.llm.substring_dedup import repeat_digest
 from tremorlane.llm.token_counts import token_counts
@@ -86,11 +88,20 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, second = public_tokenizers.path(BYTE_PAIRS), public_tokenizers.path(PIECES)
+    return align_tokens(table(spark, sf_dir, "documents"), first, second)
+
+
 def op12_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return boundary_digests(docs, public_tokenizers.path(BYTE_PAIRS))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_token_store": op2_token_store,
@@ -102,5 +113,7 @@ QUERIES: dict[str, Query] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_token_alignment": op11_token_alignment,
     "op12_forced_boundary_bpe": op12_forced_boundary_bpe,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }

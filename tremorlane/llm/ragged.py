@@ -64,15 +64,20 @@ def distinct_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndar
     return unique, place, np.searchsorted(starts, at)
 
 
-def spread(values: list[bytes], place: np.ndarray, before: np.ndarray) -> list[bytes]:
-    """For each text, the 32-bit values of its words one after the other."""
-    flat = np.frombuffer(b"".join(values), "<u4")
-    sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+def taken(flat: np.ndarray, sizes: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a ragged array one after the other, and where each begins; the end comes last."""
     begin = np.cumsum(sizes) - sizes
     size = sizes[place]
     upto = np.r_[0, np.cumsum(size)]
     index = np.repeat(begin[place] - upto[:-1], size)
     index += np.arange(len(index))
-    raw = flat[index].tobytes()
+    return flat[index], upto
+
+
+def spread(values: list[bytes], place: np.ndarray, before: np.ndarray) -> list[bytes]:
+    """For each text, the 32-bit values of its words one after the other."""
+    sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+    flat, upto = taken(np.frombuffer(b"".join(values), "<u4"), sizes, place)
+    raw = flat.tobytes()
     cuts = (4 * upto[before]).tolist()
     return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
