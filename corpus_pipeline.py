@@ -11,8 +11,8 @@ from tremorlane.llm.byte_bpe import bpe_digests
 from tremorlane.llm.common import staged
 from tremorlane.llm.decontaminate import drop_contaminated
 from tremorlane.llm.exact_dedup import drop_exact_copies
-from tremorlane.llm.near_dedup import drop_near_texts
 from tremorlane.llm.queries import BYTE_RANKS, importable, table
+from tremorlane.llm.simhash import drop_near_copies
 from tremorlane.llm.toxicity import drop_toxic, fit_toxicity
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -29,19 +29,18 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts, white space aside, the one of smallest doc_id."""
+    """Of documents with equal texts, white space aside, the one of smallest doc_id, null last."""
     importable(spark)
     return drop_exact_copies(docs)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with 0.8 or more of their five-word shingles in common the one of smallest doc_id.
+    """Of documents that fingerprints at most two bits apart connect, the one of smallest doc_id.
 
-    Fingerprints at most two bits apart do not hold these pairs, so the stage
-    joins on rare shingles and compares the texts; a null doc_id comes last.
+    Null comes last; texts without words form one group.
     """
     importable(spark)
-    return drop_near_texts(docs)
+    return drop_near_copies(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
