@@ -1,7 +1,12 @@
 from __future__ import annotations
 
 import json
+import time
 from pathlib import Path
+from threading import Thread
+
+import pytest
+from pyspark.sql import functions as F
 
 from tests.test_pages import event
 from tremorlane.plans import job
@@ -67,7 +72,7 @@ def test_all_landed_pages_are_taken_by_default(spark, tmp_path, caplog):
         spark, str(pages), str(tmp_path / "out"), default_provider="net", backfill_threshold=10
     )
     assert gated.rows == 20
-    assert "30 events left out" in caplog.text
+    assert "gate of 10: 0 archive events taken" in caplog.text
 
 
 def test_pages_one_by_one_end_as_the_batch_job_does(spark, tmp_path):
@@ -88,6 +93,94 @@ def test_pages_one_by_one_end_as_the_batch_job_does(spark, tmp_path):
     assert sorted(table.collect()) == sorted(spark.read.parquet(batch.enriched).collect())
 
 
+@pytest.mark.parametrize("live", [5, 20])
+def test_gated_pages_end_as_the_gated_batch_job_does(spark, tmp_path, live, caplog):
+    """The gate is decided on the first poll; what lands of it later changes nothing."""
+    pages, out = tmp_path / "pages", str(tmp_path / "ingest")
+    steps = [
+        [(0, "live", numbered(0, live, title="live 0"))],
+        [(0, "archive", numbered(3, 40, title="archive 0")), (1, "live", numbered(30, 60))],
+        [(1, "archive", numbered(50, 90)), (2, "live", numbered(55, 65))],
+    ]
+    for step in steps:
+        for poll, feed, events in step:
+            land(pages, poll, feed, events)
+        enriched = job.run_pages(
+            spark,
+            str(pages),
+            out,
+            default_provider="net",
+            every_seconds=None,
+            monitor=False,
+            backfill_threshold=10,
+        )
+    batch = job.run_job(
+        spark, str(pages), str(tmp_path / "out"), default_provider="net", backfill_threshold=10
+    )
+    table = spark.read.parquet(enriched)
+    assert sorted(table.collect()) == sorted(spark.read.parquet(batch.enriched).collect())
+    assert table.count() == (65 if live == 5 else 20 + 35)
+    assert f"gate of 10 is {'open' if live == 5 else 'shut'}" in caplog.text
+    (pages / "poll=0" / "feed=live" / "late.json").write_text(
+        json.dumps({"result": numbered(100, 130)}) + "\n"
+    )
+    land(pages, 0, "archive", numbered(200, 210))
+    later = job.run_pages(
+        spark,
+        str(pages),
+        out,
+        default_provider="net",
+        every_seconds=None,
+        monitor=False,
+        backfill_threshold=10,
+    )
+    ids = {row.earthquake_id for row in spark.read.parquet(later).collect()}
+    assert {f"e{i}" for i in range(100, 130)} <= ids
+
+
+def test_a_live_run_waits_for_the_first_poll(spark, tmp_path):
+    pages, out = tmp_path / "pages", str(tmp_path / "out")
+    (pages / "poll=0").mkdir(parents=True)
+
+    def arrive():
+        time.sleep(3)
+        land(pages, 0, "archive", numbered(3, 40))
+
+    arriving = Thread(target=arrive)
+    arriving.start()
+    enriched = job.run_pages(
+        spark,
+        str(pages),
+        out,
+        default_provider="net",
+        seconds=12,
+        every_seconds=0.5,
+        monitor=False,
+        backfill_threshold=10,
+    )
+    arriving.join()
+    assert spark.read.parquet(enriched).count() == 37
+
+
+def test_a_failure_of_the_labelling_query_ends_the_run(spark, tmp_path, monkeypatch):
+    pages = tmp_path / "pages"
+    land(pages, 0, "live", numbered(0, 5))
+    failing = F.raise_error(F.lit("labels are gone")).cast("string")
+    monkeypatch.setattr(job, "enrich", lambda df: df.withColumn("severity", failing))
+    start = time.time()
+    with pytest.raises(Exception, match="labels are gone"):
+        job.run_pages(
+            spark,
+            str(pages),
+            str(tmp_path / "out"),
+            default_provider="net",
+            seconds=300,
+            every_seconds=0.5,
+            monitor=False,
+        )
+    assert time.time() - start < 100
+
+
 def test_live_pages(spark, tmp_path):
     pages = tmp_path / "pages"
     land(pages, 0, "live", numbered(0, 5))

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import json
 import random
 import subprocess
 import sys
 import time
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,9 +17,10 @@ from tremorlane.plans.testdata import flat_events
 from tremorlane.schemas import FLAT, MONITOR_COLUMNS
 from tremorlane.sources import read_events
 from tremorlane.streaming import (
+    dedup,
     dedup_stream,
-    land_first_seen,
     read_event_stream,
+    read_landed_stream,
     run_for,
     run_to_end,
     start_first_seen,
@@ -168,29 +171,148 @@ def test_repeated_ids_leave_one_row_each(spark, tmp_path):
     assert len(written) == 50 and {row.title for row in written} == {"0"}
 
 
-def test_a_batch_that_failed_half_way_is_written_again(spark, tmp_path):
-    out = str(tmp_path / "out")
-    schema = "earthquake_id STRING, title STRING, seq LONG, line LONG"
-
-    def land(rows, batch_id):
-        batch = spark.createDataFrame([(*row, None) for row in rows], schema)
-        land_first_seen(
-            batch, batch_id, out, "earthquake_id", ["seq", "line"], ["earthquake_id", "title"]
+def test_a_batch_costs_what_it_holds(spark, tmp_path):
+    """Later batches read and touch no more than the first ones; the state has one entry per id."""
+    out, check, landing = (str(tmp_path / name) for name in ("out", "check", "in"))
+    batches = 25
+    for i in range(batches):  # ten new ids, ten that the file before had, and one in every file
+        ids = [*range(10 * i, 10 * i + 20), -1]
+        rows = [(f"e{n}", f"{i}", 100 * i + at) for at, n in enumerate(ids)]
+        numbered_rows(spark, rows, f"{landing}/{i:02d}", 1)
+    stream = (
+        spark.readStream.schema("earthquake_id STRING, title STRING, seq LONG")
+        .option("maxFilesPerTrigger", 1)
+        .option("recursiveFileLookup", True)
+        .json(landing)
+    )
+    columns = ["earthquake_id", "title"]
+    query = start_first_seen(
+        stream, out, check, key="earthquake_id", arrival=["seq"], columns=columns
+    )
+    run_to_end(query)
+    progress = [p for p in query.recentProgress if p.numInputRows]
+    assert [p.numInputRows for p in progress] == [21] * batches
+    totals = [p.stateOperators[0].numRowsTotal for p in progress]
+    assert totals == [21 + 10 * i for i in range(batches)]
+    assert [p.stateOperators[0].numRowsUpdated for p in progress] == [21] + [10] * (batches - 1)
+    written = spark.read.parquet(out)
+    assert written.count() == written.distinct().count() == totals[-1]
+
+
+def test_a_key_with_most_rows_comes_to_the_shuffle_as_few(spark):
+    """What a task hands on: the first of each key among the rows at hand."""
+    schema = pa.schema([("__key", pa.string()), ("__place0", pa.int64()), (dedup._LINE, pa.int64())])
+
+    def batch(keys, places):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys, pa.string()), pa.array(places, pa.int64()), pa.nulls(len(keys), pa.int64())],
+            schema=schema,
         )
 
-    def ids():
-        return sorted((row.earthquake_id, row.title) for row in spark.read.parquet(out).collect())
-
-    second = [("b", "again", 3), ("c", "new", 4), ("c", "newer", 5)]
-    land([("a", "1", 1), ("b", "1", 2)], 0)
-    land(second, 1)
-    whole = ids()
-    assert whole == [("a", "1"), ("b", "1"), ("c", "new")]
-    (tmp_path / "out" / "batch=1" / "_SUCCESS").unlink()  # as if it had ended before
-    land(second, 1)
-    assert ids() == whole
-    land([("z", "ignored", 9)], 1)  # finished: left as it is
-    assert ids() == whole
+    size, count = 5_000, 60
+    batches = [batch([None if i % 3 else f"k{i % 7}" for i in range(size)], range(n * size, (n + 1) * size)) for n in range(count)]
+    order = ["__place0", dedup._LINE]
+    handed = pa.Table.from_batches(dedup._leading("__key", order, True)(iter(batches)))
+    assert handed.num_rows <= 8 * -(-size * count // dedup._HELD) + 8
+    whole = pa.Table.from_batches(dedup._leading("__key", order, False)(iter(handed.to_batches())))
+    found = dict(zip(whole["__key"].to_pylist(), whole["__place0"].to_pylist(), strict=True))
+    assert found == {None: 1} | {f"k{k}": next(i for i in range(0, size, 3) if i % 7 == k) for k in range(7)}
+
+
+def test_rows_of_one_place_stay_in_the_order_of_their_file(spark, tmp_path):
+    out, check, landing = (str(tmp_path / name) for name in ("out", "check", "in"))
+    rows = [("a", f"{i}", 0) for i in range(300)]
+    spark.createDataFrame(rows, "earthquake_id STRING, title STRING, seq LONG").coalesce(1).write.json(landing)
+    land_numbered(spark, landing, out, check)
+    assert [row.title for row in spark.read.parquet(out).collect()] == ["0"]
+
+
+def test_a_crash_between_files_and_commit_leaves_each_id_once(spark, tmp_path):
+    """A batch ended after its files and before its entries in the logs; it runs again."""
+    out, check, landing = (str(tmp_path / name) for name in ("out", "check", "in"))
+    shown, seen = str(tmp_path / "shown"), str(tmp_path / "shown_check")
+
+    def follow():
+        stream = spark.readStream.schema("earthquake_id STRING, title STRING").parquet(out)
+        run_to_end(start_parquet(stream, shown, seen))
+        return sorted((row.earthquake_id, row.title) for row in spark.read.parquet(shown).collect())
+
+    numbered_rows(spark, [("a", "1", 1), ("b", "1", 2)], landing, 1)
+    land_numbered(spark, landing, out, check)
+    assert follow() == [("a", "1"), ("b", "1")]
+    numbered_rows(spark, [("b", "again", 3), ("c", "new", 4), ("c", "newer", 5)], landing, 1)
+    land_numbered(spark, landing, out, check)
+    for entry in ("out/_spark_metadata/1", "check/commits/1"):
+        (tmp_path / entry).unlink()
+        (tmp_path / entry).with_name(".1.crc").unlink(missing_ok=True)
+    lost = len(list((tmp_path / "out").glob("*.parquet")))
+    assert follow() == [("a", "1"), ("b", "1")]  # files without an entry are not seen
+    land_numbered(spark, landing, out, check)
+    assert len(list((tmp_path / "out").glob("*.parquet"))) > lost
+    whole = [("a", "1"), ("b", "1"), ("c", "new")]
+    assert follow() == whole
+    assert sorted((r.earthquake_id, r.title) for r in spark.read.parquet(out).collect()) == whole
+
+
+def test_a_later_query_that_fails_is_raised_soon(spark, lines, tmp_path):
+    folder = lines([flat("a")])
+    stream = read_event_stream(spark, folder)
+    good = start_parquet(stream, str(tmp_path / "out"), str(tmp_path / "c1"), every_seconds=0.2)
+    bad = stream.withColumn("bad", F.raise_error(F.lit("the second one")).cast("string"))
+    failing = start_parquet(bad, str(tmp_path / "out2"), str(tmp_path / "c2"), every_seconds=0.2)
+    start = time.time()
+    with pytest.raises(Exception, match="the second one"):
+        run_for(good, failing, seconds=300)
+    assert time.time() - start < 60
+    assert not good.isActive and not failing.isActive
+
+
+def test_what_has_arrived_is_taken_before_the_stop(spark, lines, tmp_path):
+    """Two queries in a row, one file per batch: the time is up long before the files are read."""
+    for i in range(12):
+        folder = lines([flat(f"e{i}")], name=f"{i}.json")
+    middle = str(tmp_path / "middle")
+    Path(middle).mkdir()
+    first = start_parquet(
+        read_event_stream(spark, folder, files_per_batch=1), middle, str(tmp_path / "c1"), 0.1
+    )
+    second = start_parquet(
+        read_landed_stream(spark, middle), str(tmp_path / "out"), str(tmp_path / "c2"), 0.1
+    )
+    run_for(first, second, seconds=0.1, drain_seconds=120)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 12
+
+
+def test_draining_ends_in_time(spark, lines, tmp_path):
+    for i in range(40):
+        folder = lines([flat(f"e{i}")], name=f"{i}.json")
+    stream = read_event_stream(spark, folder, files_per_batch=1)
+    query = start_parquet(stream, str(tmp_path / "out"), str(tmp_path / "c1"), 0.1)
+    start = time.time()
+    run_for(query, seconds=0.1, drain_seconds=1)
+    assert time.time() - start < 20 and not query.isActive
+
+
+def test_malformed_lines_go_to_a_table_of_their_own(spark, lines, tmp_path):
+    folder = lines(
+        [flat("whole"), flat("text", magnitude="strong"), "not json", '{"earthquake_id": "cut', "", "[1]"]
+    )
+    run_live(
+        spark,
+        folder,
+        str(tmp_path / "out"),
+        str(tmp_path / "check"),
+        seconds=3,
+        every_seconds=0.5,
+        malformed=str(tmp_path / "bad"),
+    )
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((row.earthquake_id, row.magnitude) for row in rows) == [("text", None), ("whole", 3.4)]
+    bad = spark.read.parquet(str(tmp_path / "bad")).collect()
+    assert all(row.file.endswith("a.json") for row in bad)
+    found = {row.line: row.salvaged for row in bad}
+    assert {line for line, kept in found.items() if not kept} == {"not json", '{"earthquake_id": "cut', "[1]"}
+    assert [json.loads(line)["earthquake_id"] for line, kept in found.items() if kept] == ["text"]
 
 
 CONSOLE = """

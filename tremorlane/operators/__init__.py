@@ -1,6 +1,6 @@
 """DataFrame to DataFrame operators."""
 
-from tremorlane.operators.arrivals import backfill_union, first_seen
+from tremorlane.operators.arrivals import backfill_union, first_seen, gate_open
 from tremorlane.operators.clean import (
     clean_events,
     drop_incomplete,
@@ -43,6 +43,7 @@ __all__ = [
     "fit_clusters",
     "fit_scaler",
     "flatten_events",
+    "gate_open",
     "live_window",
     "magnitude_histogram",
     "map_points",

@@ -34,6 +34,10 @@ def backfill_union(
     `threshold` rows: nothing runs before the result is asked for, and it is
     decided anew on the data of each run.
     """
-    deciding = live if first_poll is None else first_poll
+    return live.unionByName(archive.where(gate_open(live if first_poll is None else first_poll, threshold)))
+
+
+def gate_open(deciding: DataFrame, threshold: int = BACKFILL_THRESHOLD) -> Column:
+    """Whether there are fewer than `threshold` rows, as a condition in another plan."""
     seen = deciding.select(F.lit(1).alias("one")).limit(threshold).agg(F.count("one"))
-    return live.unionByName(archive.where(seen.scalar() < threshold))
+    return seen.scalar() < threshold

@@ -106,6 +106,11 @@ _LIVE_AND_ARCHIVE = _raw(
     (0, "archive", "ts < timestamp '2024-01-20'"),
     (1, "live", "true"),
 )
+#: With a busy first poll the gate is shut: its archive stays out.
+_LIVE_AND_ARCHIVE_SHUT = _raw(
+    (0, "live", "ts >= timestamp '2024-01-10' and ts < timestamp '2024-01-20'"),
+    (1, "live", "true"),
+)
 _QUIET = _raw((0, "archive", "ts < timestamp '2024-01-20'"), (1, "live", "true"))
 
 
@@ -193,6 +198,24 @@ from raw""",
     "continuous_ingest": (
         f"with {_LIVE_AND_ARCHIVE}, {_enriched_from('fresh')} select * from enriched"
     ),
+    "gated_ingest": f"""
+select * from (
+  with {_QUIET}, {_enriched_from('fresh')} select *, 'quiet' as day from enriched)
+union all
+select * from (
+  with {_LIVE_AND_ARCHIVE_SHUT}, {_enriched_from('fresh')} select *, 'busy' as day from enriched)""",
+    "malformed_lines": f"""
+{_ENRICHED}
+select 'event' as kind, earthquake_id,
+       case when earthquake_id::bigint % 59 <> 0 then magnitude end as magnitude,
+       case when earthquake_id::bigint % 59 <> 0 then severity else 'MAJOR' end as severity,
+       null::varchar as line
+from enriched where earthquake_id::bigint % 53 <> 0
+union all
+select case when event_id % 53 = 0 then 'lost line' else 'salvaged line' end, null, null, null,
+       case when event_id % 53 = 0 then '{{"earthquake_id": "' || event_id || '", "provider": '
+            else '{{"earthquake_id": "' || event_id || '", "magnitude": "strong"}}' end
+from events where event_id % 53 = 0 or event_id % 59 = 0""",
     "backfill_union": (
         f"{_ENRICHED} {_backfill('quiet', '2024-02-02')} union all "
         f"{_backfill('busy', '2024-01-31')}"

@@ -37,6 +37,7 @@ from tremorlane.plans.testdata import (
     LIVE_AND_ARCHIVE_POLLS,
     QUIET_FIRST_POLL,
     flat_events,
+    land_broken_lines,
     land_pages,
     landed_events,
 )
@@ -49,6 +50,7 @@ from tremorlane.streaming import (
     dedup_stream,
     read_event_stream,
     run_to_end,
+    split_malformed,
     start_first_seen,
     start_monitor,
     start_parquet,
@@ -122,7 +124,7 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                 columns=list(FLAT_COLUMNS),
             )
         )
-    return read_table(spark, out, FLAT).drop("batch")
+    return read_table(spark, out, FLAT)
 
 
 def state_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,6 +157,58 @@ def continuous_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_enriched(spark, enriched)
 
 
+def gated_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that arrive poll by poll after a quiet and after a busy first poll.
+
+    The gate is decided in the first run of each and holds in the second.
+    """
+    days = []
+    for day, polls in (("quiet", QUIET_FIRST_POLL), ("busy", LIVE_AND_ARCHIVE_POLLS)):
+        pages, out = fresh_dir(spark, "pages"), fresh_dir(spark, "ingest")
+        for poll in (0, 1):
+            land_pages(spark, sf_dir, tuple(part for part in polls if part[0] == poll), pages)
+            enriched = run_pages(
+                spark,
+                pages,
+                out,
+                default_provider=DEFAULT_PROVIDER,
+                every_seconds=None,
+                monitor=False,
+                backfill_threshold=BACKFILL_THRESHOLD,
+            )
+        days.append(read_enriched(spark, enriched).withColumn("day", F.lit(day)))
+    return days[0].unionByName(days[1])
+
+
+def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables from one stream: its events, and the lines that did not parse (in full)."""
+    landing, enriched = fresh_dir(spark, "landing"), fresh_dir(spark, "enriched")
+    rejected = fresh_dir(spark, "rejected")
+    land_broken_lines(spark, sf_dir, landing)
+    stream = read_event_stream(spark, landing, keep_malformed=True, files="*.txt")
+    events, lines = split_malformed(stream)
+    run_to_end(
+        start_parquet(enrich(events), enriched, fresh_dir(spark, "checkpoint")),
+        start_parquet(lines, rejected, fresh_dir(spark, "checkpoint")),
+    )
+    no = F.lit(None)
+    rows = read_enriched(spark, enriched).select(
+        F.lit("event").alias("kind"),
+        "earthquake_id",
+        "magnitude",
+        "severity",
+        no.cast("string").alias("line"),
+    )
+    lines = spark.read.parquet(rejected).select(
+        F.when(F.col("salvaged"), "salvaged line").otherwise("lost line").alias("kind"),
+        no.cast("string").alias("earthquake_id"),
+        no.cast("double").alias("magnitude"),
+        no.cast("string").alias("severity"),
+        "line",
+    )
+    return rows.unionByName(lines)
+
+
 def live_window_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live_window(_enriched(spark, sf_dir), AS_OF)
 
@@ -364,6 +418,8 @@ QUERIES: dict[str, Query] = {
     "stream_dedup": stream_dedup,
     "state_dedup": state_dedup,
     "continuous_ingest": continuous_ingest,
+    "gated_ingest": gated_ingest,
+    "malformed_lines": malformed_lines,
     "backfill_union": backfill_union_query,
     "newest_page": newest_page,
     "live_window": live_window_query,

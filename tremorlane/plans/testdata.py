@@ -78,6 +78,19 @@ def flat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_UNFINISHED = "concat('{\"earthquake_id\": \"', event_id, '\", \"provider\": ')"
+_WRONG_TYPE = "concat('{\"earthquake_id\": \"', event_id, '\", \"magnitude\": \"strong\"}')"
+
+
+def land_broken_lines(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The flat events as JSON lines, some of them cut off and some with text for a number."""
+    fields = ", ".join(f"'{name}', {expression}" for name, expression in _FLAT.items())
+    events_table(spark, sf_dir).selectExpr(
+        f"case when event_id % 53 = 0 then {_UNFINISHED} when event_id % 59 = 0 then {_WRONG_TYPE}"
+        f" else to_json(named_struct({fields})) end as value"
+    ).write.text(path)
+
+
 # Polls of the feed. The first poll sees the events up to its own time, part of
 # them in the live feed and all of them in the archive; the second sees all.
 LIVE_AND_ARCHIVE_POLLS = (

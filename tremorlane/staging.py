@@ -37,6 +37,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def ensure_dir(spark: SparkSession, path: str) -> None:
+    """Make a folder, for a stream that watches it before anything is there."""
+    place, files = _located(spark, path)
+    files.mkdirs(place)
+
+
 def clear_staging(spark: SparkSession) -> int:
     """Delete the folders this process got from `fresh_dir`; gives their number.
 
