@@ -102,3 +102,22 @@ def test_stages_take_odd_and_empty_tables(shipped, odd_docs, no_docs, name):
     stage = dict(corpus_pipeline.STAGES)[name]
     assert stage(shipped, no_docs, SF).count() == 0
     assert 0 < stage(shipped, odd_docs, SF).count() <= odd_docs.count()
+
+
+NAMES = "_id _sha _n _words _of _stays _kept _h _k _r _d _fp row first last fp root idx uid level name sha"
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_stages_keep_columns_of_any_name(shipped, odd_rows, name):
+    """Other columns may be called what the operators call theirs; their values stay with their rows."""
+    names = NAMES.split()
+    kinds = ", ".join(f"`{other}` string" for other in names)
+    rows = [(*row, *(f"{other}{i}" for other in names)) for i, row in enumerate(odd_rows)]
+    docs = shipped.createDataFrame(rows, f"doc_id long, text string, {kinds}").repartition(3)
+    out = dict(corpus_pipeline.STAGES)[name](shipped, docs, SF)
+    found = [tuple(row) for row in out.collect()]
+    if name == "byte_bpe":
+        assert len(found) == len(rows)
+    else:
+        assert out.columns == docs.columns
+        assert 0 < len(found) == len(set(found)) and set(found) <= set(rows)

@@ -87,9 +87,14 @@ def test_chain_and_star_components(shipped):
 
 def test_one_of_a_group_stays(docs_of, no_docs):
     text = "one two three four five six seven eight nine ten"
-    docs = docs_of([(5, text), (2, text.upper()), (9, "another text of other words here"), (None, text)])
+    other = "another text of other words here"
+    rows = [(5, text), (2, text.upper()), (9, other), (None, text), (2, "third of its id"), (2, text)]
+    docs = docs_of([*rows, (None, "no id, and alone"), (11, None), (12, " \n"), (9, other)])
     kept = drop_near_copies(docs)
     assert kept.columns == docs.columns
-    assert sorted((row["doc_id"] or 0) for row in kept.collect()) == [0, 2, 9]
+    found = sorted(((row["doc_id"] or 0), (row["text"] or "").split()[:1]) for row in kept.collect())
+    ones = (["one"], ["ONE"])
+    assert [x for x in found if x[1] not in ones] == [(0, ["no"]), (2, ["third"]), (9, ["another"]), (11, [])]
+    assert [x[0] for x in found if x[1] in ones] == [2]
     assert drop_near_copies(no_docs).count() == 0
     assert simhash_components(no_docs).count() == 0

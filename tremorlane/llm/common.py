@@ -16,6 +16,9 @@ from tremorlane.staging import fresh_dir
 #: Texts are handed to the Python helpers in slices of about so many bytes.
 SLICE_BYTES = 4 << 20
 
+#: Column that tells the rows of a table apart where its own columns may not.
+ROW = "__tremorlane_row"
+
 
 def utf8(name: str) -> Column:
     """A text column as its UTF-8 bytes; null counts as empty."""

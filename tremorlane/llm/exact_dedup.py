@@ -7,10 +7,10 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremorlane.llm.common import slices, staged, utf8
+from tremorlane.llm.common import ROW, slices, staged, utf8
 
 BLOCK_BYTES = 16 << 10
 _TASK = 40  # numbers given in a task have so many bits below the task's own number
@@ -29,8 +29,7 @@ def normalised(text: bytes) -> bytes:
 
 def _cut(block_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = TaskContext.get().partitionId() << _TASK
-        row = uid = base
+        uid = TaskContext.get().partitionId() << _TASK
         for batch in slices(batches, "text"):
             known: dict[bytes, int] = {}
             rows: dict[str, list] = {name.split()[0]: [] for name in _PIECES.split(", ")}
@@ -39,7 +38,7 @@ def _cut(block_bytes: int):
                 for column, value in zip(rows.values(), values, strict=True):
                     column.append(value)
 
-            for doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text"))):
+            for row, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 text = normalised(text)
                 sha = hashlib.sha256(text).hexdigest()
                 n = max(1, -(-len(text) // block_bytes))
@@ -50,7 +49,6 @@ def _cut(block_bytes: int):
                         add(None, None, None, None, uid, None, block)
                         uid += 1
                     add(doc_id, row, idx, n, known[block], None if idx else sha, None)
-                row += 1
             schema = pa.schema(
                 [
                     ("doc_id", pa.int64()),
@@ -121,9 +119,16 @@ def exact_copies(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     `kept` holds for one row of a group, that of the smallest doc_id; null
     counts as the largest. Of repeated rows with one doc_id a single one is
     kept. Empty texts form a group like any other. An empty table gives no
-    rows. Only `doc_id` and `text` are read.
+    rows. Only `doc_id` and `text` are read, whatever other columns are called.
     """
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text"))
+    return _decided(docs.withColumn(ROW, F.monotonically_increasing_id()), block_bytes).drop(ROW)
+
+
+def _decided(docs: DataFrame, block_bytes: int) -> DataFrame:
+    """`exact_copies` of rows that column `ROW` tells apart, and that column."""
+    source = docs.select(
+        F.col(ROW).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text")
+    )
     pieces = staged(source.mapInArrow(_cut(block_bytes), _PIECES), "blocks")
     blocks = pieces.where(F.col("block").isNotNull()).select("block", "uid")
     names = blocks.repartition("block").sortWithinPartitions("block")
@@ -152,6 +157,7 @@ def exact_copies(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         .alias("d")
         .join(groups.alias("g"), F.expr("_r = _k and d.level = g.level and d.name = g.name"))
         .select(
+            F.col("row").alias(ROW),
             "doc_id",
             "keep_id",
             "group_size",
@@ -165,15 +171,13 @@ def _named(level: DataFrame, number: int) -> DataFrame:
     return level.where("n = 1").select("row", F.lit(number).alias("level"), "name")
 
 
-def _sha_of_normalised(text: Column) -> Column:
-    return F.sha2(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " "), 256)
-
-
 def drop_exact_copies(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The kept rows of `docs`, columns unchanged: one row of each group of equal texts."""
-    kept = exact_copies(docs, block_bytes).where("kept")
-    kept = kept.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    joined = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]))
-    same = joined.where(_sha_of_normalised(F.col("text")) == F.col("_sha"))
-    order = Window.partitionBy("_id", "_sha").orderBy("_sha")
-    return same.withColumn("_n", F.row_number().over(order)).where("_n = 1").select(*docs.columns)
+    """The kept rows of `docs`, all columns unchanged: one row of each group of equal texts.
+
+    That is the row of the smallest doc_id, null last; of repeated rows one
+    stays. Null counts as empty text. Rows are numbered, decisions are taken on
+    numbers, and the texts are shuffled once, to leave out the dropped rows.
+    """
+    numbered = staged(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    dropped = _decided(numbered, block_bytes).where("not kept").select(ROW)
+    return numbered.join(dropped, ROW, "left_anti").drop(ROW)

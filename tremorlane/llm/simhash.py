@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremorlane.llm.common import map_slices, shuffle_parts, staged, utf8
+from tremorlane.llm.common import ROW, map_slices, shuffle_parts, staged, utf8
 from tremorlane.llm.components import connected_components
 
 WORDS = 3
@@ -43,16 +43,21 @@ def fingerprint(text: bytes, words: int = WORDS, seed: int = SEED) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp) for every row of `docs`, from its whole text."""
+    """(row, doc_id, fp) for every row of `docs`, from its whole text.
+
+    `row` tells rows apart: that of column `ROW` if there is one.
+    """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         values = [fingerprint(text, words, seed) for text in batch.column("text").to_pylist()]
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(values, pa.int64())], ["doc_id", "fp"]
+            [batch.column("row"), batch.column("doc_id"), pa.array(values, pa.int64())],
+            ["row", "doc_id", "fp"],
         )
 
-    source = docs.select(F.col("doc_id").cast("long"), utf8("text").alias("text"))
-    return map_slices(source, run, "doc_id long, fp long", "text")
+    row = F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
+    source = docs.select(row.alias("row"), F.col("doc_id").cast("long"), utf8("text").alias("text"))
+    return map_slices(source, run, "row long, doc_id long, fp long", "text")
 
 
 def ball_links(fps: DataFrame) -> DataFrame:
@@ -108,13 +113,7 @@ def simhash_components(docs: DataFrame, words: int = WORDS, seed: int = SEED) ->
     are of distinct fingerprints, however large a group of copies is.
     """
     of_docs = staged(fingerprints(docs, words, seed), "fingerprints")
-    distinct = staged(of_docs.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    stars = connected_components(ball_links(distinct.select("fp")))
-
-    rooted = distinct.join(stars, distinct["fp"] == stars["u"], "left").select(
-        "fp", "least", F.coalesce("v", "fp").alias("root")
-    )
-    roots = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    rooted, roots = _components(of_docs)
     # Keyed by hashes so that both joins shuffle both sides and AQE can split a hot key.
     roots = roots.select("component_id", "root", F.xxhash64("root").alias("_r"))
     named = rooted.withColumn("_k", F.xxhash64("root")).join(
@@ -132,16 +131,34 @@ def simhash_components(docs: DataFrame, words: int = WORDS, seed: int = SEED) ->
     )
 
 
-def drop_near_copies(docs: DataFrame, words: int = WORDS, seed: int = SEED) -> DataFrame:
-    """The rows of `docs` whose doc_id is the least of its component, columns unchanged.
+def _components(of_docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(fp, root) of every different fingerprint, and (root, component_id, first) of every component.
 
-    Rows without a doc_id have nothing to be compared by and stay.
+    `first` is the row of the least doc_id, null last.
     """
-    kept = (
-        simhash_components(docs, words, seed)
-        .where("doc_id = component_id")
-        .select(F.col("doc_id").alias("_kept"))
-        .distinct()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
+    distinct = staged(
+        of_docs.groupBy("fp").agg(F.min("doc_id").alias("least"), first.alias("first")), "distinct"
     )
-    known = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi")
-    return known.unionByName(docs.where(docs["doc_id"].isNull()))
+    stars = connected_components(ball_links(distinct.select("fp")))
+    rooted = distinct.join(stars, distinct["fp"] == stars["u"], "left").select(
+        "fp", "least", "first", F.coalesce("v", "fp").alias("root")
+    )
+    roots = rooted.groupBy("root").agg(
+        F.min("least").alias("component_id"), F.min("first").alias("first")
+    )
+    return rooted.select("fp", "root"), roots.withColumn("first", F.col("first.row"))
+
+
+def drop_near_copies(docs: DataFrame, words: int = WORDS, seed: int = SEED) -> DataFrame:
+    """One row of each component of `simhash_components`, all columns unchanged.
+
+    That is the row of the smallest doc_id, null last; of repeated rows one
+    stays, and so does one of all rows without words. Rows are numbered,
+    components are found on fingerprints, and the texts are shuffled once, to
+    take up the rows that stay.
+    """
+    numbered = staged(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    of_docs = staged(fingerprints(numbered, words, seed), "fingerprints")
+    _, roots = _components(of_docs)
+    return numbered.join(roots.select(F.col("first").alias(ROW)), ROW, "left_semi").drop(ROW)
