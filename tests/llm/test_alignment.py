@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from bisect import bisect_left
 from collections import Counter
 from hashlib import sha256
 
@@ -62,11 +63,14 @@ class Plain:
     def document(self, text):
         a, b = self.tokens(text)
         common = sorted({end for *_, end in a} & {end for *_, end in b})
-        groups, first = [], 0
-        for end in common:
-            sides = [",".join(str(i) for i, low, high in side if first <= low < end) for side in (a, b)]
-            groups.append("|".join(sides))
-            first = end
+        group_of = {}
+        for side in (a, b):
+            for i, _, end in side:
+                at = bisect_left(common, end)
+                group_of.setdefault((at, side is b), []).append(str(i))
+        groups = [
+            f"{','.join(group_of[n, False])}|{','.join(group_of[n, True])}" for n in range(len(common))
+        ]
         links, j = [], 0
         for i, low, high in a:
             while j and b[j - 1][2] > low:
