@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tremorlane.operators import (
+    ClusterModel,
     cluster_events,
     cluster_quality,
     clustering,
@@ -178,3 +179,25 @@ def test_nearest_is_told_row_by_row(spark):
     assert labelled.where("not nearest or distance < 0").isEmpty()
     wrong = model.label(df).withColumn("cluster", (F.col("cluster") + 1) % 5)
     assert with_nearest(wrong, model).where("nearest").isEmpty()
+
+
+@pytest.mark.parametrize("points", [random_points(300), [(40.0, 30.0, 1.0)] * 3, []])
+def test_a_saved_model_labels_as_the_fitted_one(spark, tmp_path, points):
+    path = str(tmp_path / "model")
+    fit_clusters(events(spark, random_points(40, seed=9)), 3).save(spark, path)  # is replaced
+    fitted = fit_clusters(events(spark, points))
+    fitted.save(spark, path)
+    loaded = ClusterModel.load(spark, path)
+    assert (loaded.centers, loaded.factors, loaded.ranks) == (
+        fitted.centers,
+        fitted.factors,
+        fitted.ranks,
+    )
+    rows = events(spark, points)
+    assert sorted(loaded.label(rows).collect()) == sorted(fitted.label(rows).collect())
+
+
+def test_a_model_half_written_is_not_loaded(spark, tmp_path):
+    fit_clusters(events(spark, random_points(40))).kmeans.save(str(tmp_path / "model" / "kmeans"))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        ClusterModel.load(spark, str(tmp_path / "model"))

@@ -5,7 +5,7 @@ import json
 from pathlib import Path
 
 from tremorlane.schemas import CLUSTERED, FLAT
-from tremorlane.sinks import write_csv, write_json_lines
+from tremorlane.sinks import write_csv, write_json_lines, write_single_csv
 from tremorlane.sources import read_csv, read_enriched, read_events
 
 TEXTS = [
@@ -91,3 +91,27 @@ def test_missing_and_empty_inputs_are_empty_tables(spark, tmp_path):
             df = read(spark, path)
             assert df.count() == 0
             assert "magnitude" in df.columns
+
+
+def test_one_csv_file_in_the_order_of_the_rows(spark, tmp_path):
+    """Many parts, some of several files, become one file; nothing else stays beside it."""
+    path = tmp_path / "out" / "events.csv"
+    rows = spark.range(1000).selectExpr("id", "concat('text ', id, ', \"x\"') as `a \"name\"`")
+    for _ in range(2):  # the second replaces the first
+        write_single_csv(rows.repartitionByRange(7, "id"), str(path), rows_per_file=60)
+    with path.open(newline="", encoding="utf-8") as file:
+        found = list(csv.reader(file))
+    assert found[0] == ["id", 'a "name"']
+    assert [int(row[0]) for row in found[1:]] == list(range(1000))
+    assert found[8][1] == 'text 7, "x"'
+    assert {item.name for item in path.parent.iterdir()} <= {"events.csv", ".events.csv.crc"}
+
+
+def test_one_csv_file_keeps_texts(spark, tmp_path):
+    path = str(tmp_path / "one.csv")
+    write_single_csv(clustered(spark).repartition(3), path, rows_per_file=4)
+    expected = [tuple(None if value == "" else value for value in row) for row in clustered(spark).collect()]
+    read = [tuple(row) for row in read_csv(spark, path).collect()]
+    assert sorted(read, key=str) == sorted(expected, key=str)
+    write_single_csv(clustered(spark).limit(0), path)
+    assert read_csv(spark, path).count() == 0 and Path(path).is_file()

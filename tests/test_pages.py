@@ -1,11 +1,14 @@
 from __future__ import annotations
 
 import json
+import os
 import time
 
+import pytest
+
 from tremorlane.operators import clean_events, first_seen, flatten_events, require_id
 from tremorlane.plans.job import arrival_order, arriving_events
-from tremorlane.sources import explode_pages, read_pages
+from tremorlane.sources import explode_pages, pack_pages, read_packed_pages, read_pages
 from tremorlane.streaming import run_to_end, start_parquet
 
 
@@ -192,3 +195,28 @@ def test_pages_without_a_number_count_in_the_order_of_their_files(spark, tmp_pat
             assert len(titles) == 202
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("one_per_file", [False, True])
+def test_packed_pages_are_read_as_the_files_they_came_in(spark, tmp_path, one_per_file):
+    """Many small files, some of them broken, as a few large ones; the order of arrival holds."""
+    pages, packed = tmp_path / "pages", str(tmp_path / "packed")
+    for i in range(40):
+        folder = pages / f"poll={i % 2}" / f"feed={'archive' if i % 5 == 0 else 'live'}"
+        folder.mkdir(parents=True, exist_ok=True)
+        page = {"result": [event(f"e{i % 13}", title=f"{i}-{n}") for n in range(3)] + [None] * (i % 3 == 0)}
+        text = "not json" if i == 7 else json.dumps(page, indent=1 if one_per_file else None)
+        (folder / f"{100 - i}.json").write_text(text + "\n")
+        os.utime(folder / f"{100 - i}.json", (1_700_000_000 + i, 1_700_000_000 + i))
+    pack_pages(spark, str(pages), packed, one_document_per_file=one_per_file, bytes_per_file=12_000)
+    files = list((tmp_path / "packed").rglob("*.parquet"))
+    assert 1 <= len(files) <= 10
+
+    def rows(read):
+        raw = explode_pages(read)
+        flat = arriving_events(raw, default_provider="net")
+        first = first_seen(flat, "earthquake_id", arrival_order())
+        return raw.count(), sorted((row.earthquake_id, row.title) for row in first.collect())
+
+    plain = read_pages(spark, str(pages), one_document_per_file=one_per_file)
+    assert rows(read_packed_pages(spark, packed)) == rows(plain)

@@ -12,7 +12,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tremorlane.operators.clean import KEY_COLUMNS
@@ -22,6 +22,10 @@ CLUSTERS = 5
 SEED = 42
 ROWS_PER_PART = 2_000_000
 COPIES_PER_PART = 100_000
+_KMEANS, _SCALES = "kmeans", "scales"
+_TOLD = (
+    "features ARRAY<STRING>, factors ARRAY<DOUBLE>, ranks ARRAY<INT>, centers ARRAY<ARRAY<DOUBLE>>"
+)
 
 
 @dataclass(frozen=True)
@@ -34,7 +38,7 @@ class ClusterModel:
     ranks: list[int]
 
     def label(self, df: DataFrame) -> DataFrame:
-        """`df` with a `cluster` column."""
+        """`df`, a table or a stream, with a `cluster` column."""
         if self.kmeans is None:
             return df.withColumn("cluster", F.lit(0))
         ranks = F.array(*map(F.lit, self.ranks))
@@ -43,6 +47,30 @@ class ClusterModel:
         )
 
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Write the model under `path`, in place of one that was there.
+
+        The scales and the order of the centres are written last: a model
+        whose writing ended before cannot be loaded.
+        """
+        if self.kmeans is not None:
+            self.kmeans.write().overwrite().save(f"{path}/{_KMEANS}")
+        row = (list(self.factors), list(self.factors.values()), self.ranks, self.centers)
+        told = spark.createDataFrame([row], _TOLD).coalesce(1)
+        told.write.mode("overwrite").parquet(f"{path}/{_SCALES}")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> ClusterModel:
+        """A model that `save` wrote, in this or another application."""
+        row = spark.read.schema(_TOLD).parquet(f"{path}/{_SCALES}").first()
+        return ClusterModel(
+            kmeans=KMeansModel.load(f"{path}/{_KMEANS}") if row["centers"] else None,
+            centers=[list(center) for center in row["centers"]],
+            factors=dict(zip(row["features"], row["factors"], strict=True)),
+            ranks=list(row["ranks"]),
+        )
+
+
 def fit_scaler(df: DataFrame, features: Sequence[str] = KEY_COLUMNS) -> PipelineModel:
     """Assemble the features and divide each by its sample standard deviation."""
     assembler = VectorAssembler(inputCols=list(features), outputCol="_raw")

@@ -169,6 +169,14 @@ _FLAT_COLUMNS = (
     "earthquake_id, provider, title, magnitude, depth, latitude, longitude, region, event_time"
 )
 
+_CSV = f"""
+{_ENRICHED}
+select nullif(earthquake_id, '') as earthquake_id, nullif(provider, '') as provider,
+       nullif(title, '') as title, magnitude, depth, latitude, longitude,
+       nullif(region, '') as region, nullif(severity, '') as severity,
+       nullif(event_time, '') as event_time
+from enriched"""
+
 ORACLES: dict[str, str] = {
     "job_rerun": f"""
 with {_QUIET}, {_enriched_from('fresh')}, {_CLEAN}
@@ -193,6 +201,7 @@ select poll, feed, earthquake_id, provider, title, mag, depth, n_coordinates, ep
 from raw""",
     "flatten_events": f"with {_LIVE_AND_ARCHIVE} select {_FLAT_COLUMNS} from flattened",
     "dedup_first_seen": f"with {_LIVE_AND_ARCHIVE} select {_FLAT_COLUMNS} from fresh",
+    "packed_pages": f"with {_LIVE_AND_ARCHIVE} select {_FLAT_COLUMNS} from fresh",
     "stream_dedup": f"with {_LIVE_AND_ARCHIVE} select {_FLAT_COLUMNS} from fresh",
     "state_dedup": f"with {_LIVE_AND_ARCHIVE} select earthquake_id from fresh",
     "continuous_ingest": (
@@ -250,13 +259,13 @@ select earthquake_id,
        round(magnitude / (select stddev_samp(magnitude) from clean), 6) as magnitude_std
 from clean""",
     "jsonl_roundtrip": f"with {_FLAT} select * from flat",
-    "csv_roundtrip": f"""
-{_ENRICHED}
-select nullif(earthquake_id, '') as earthquake_id, nullif(provider, '') as provider,
-       nullif(title, '') as title, magnitude, depth, latitude, longitude,
-       nullif(region, '') as region, nullif(severity, '') as severity,
-       nullif(event_time, '') as event_time
-from enriched""",
+    "csv_roundtrip": _CSV,
+    "csv_single_file": _CSV,
+    "stream_labels": f"""
+{_CLEANED}
+select earthquake_id, provider, title, magnitude, depth, latitude, longitude, region, severity,
+       event_time, true as same
+from clean""",
     "cluster_events": f"""
 {_CLEANED}
 select earthquake_id, provider, title, magnitude, depth, latitude, longitude, region, severity,

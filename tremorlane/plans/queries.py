@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tremorlane.operators import (
+    ClusterModel,
     archive_window,
     backfill_union,
     clean_events,
@@ -41,9 +42,17 @@ from tremorlane.plans.testdata import (
     land_pages,
     landed_events,
 )
-from tremorlane.schemas import CLUSTERED_COLUMNS, FLAT, FLAT_COLUMNS, MONITOR_COLUMNS, ddl
-from tremorlane.sinks import write_csv, write_json_lines, write_parquet
-from tremorlane.sources import explode_pages, read_csv, read_enriched, read_events, read_pages
+from tremorlane.schemas import CLUSTERED, CLUSTERED_COLUMNS, FLAT, FLAT_COLUMNS, MONITOR_COLUMNS, ddl
+from tremorlane.sinks import write_csv, write_json_lines, write_parquet, write_single_csv
+from tremorlane.sources import (
+    explode_pages,
+    pack_pages,
+    read_csv,
+    read_enriched,
+    read_events,
+    read_packed_pages,
+    read_pages,
+)
 from tremorlane.sources.files import read_table
 from tremorlane.staging import fresh_dir
 from tremorlane.streaming import (
@@ -106,6 +115,16 @@ def dedup_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_seen(events, "earthquake_id", arrival_order()).drop(*PLACE)
 
 
+def packed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First-seen rows from landed pages that were packed into large files."""
+    pages, packed = fresh_dir(spark, "pages"), fresh_dir(spark, "packed")
+    land_pages(spark, sf_dir, LIVE_AND_ARCHIVE_POLLS, pages)
+    pack_pages(spark, pages, packed)
+    raw = explode_pages(read_packed_pages(spark, packed))
+    events = arriving_events(raw, default_provider=DEFAULT_PROVIDER)
+    return first_seen(events, "earthquake_id", arrival_order()).drop(*PLACE)
+
+
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First-seen rows over two runs on one checkpoint: the second finds the first's ids again."""
     pages, out = fresh_dir(spark, "pages"), fresh_dir(spark, "distinct")
@@ -305,6 +324,30 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, ddl(columns))
 
 
+def csv_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same columns through one file."""
+    columns = {name: kind for name, kind in CLUSTERED_COLUMNS.items() if name != "cluster"}
+    path = f"{fresh_dir(spark, 'csv')}/events.csv"
+    write_single_csv(_enriched(spark, sf_dir).select(*columns), path)
+    return read_csv(spark, path, ddl(columns))
+
+
+def stream_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels that a saved model gives a stream, held against those of the table it was fitted on."""
+    events, path, out = _clean(spark, sf_dir), fresh_dir(spark, "model"), fresh_dir(spark, "labelled")
+    fitted = fit_clusters(events)
+    fitted.save(spark, path)
+    loaded = ClusterModel.load(spark, path)
+    stream = loaded.label(clean_events(_landed_stream(spark, sf_dir)))
+    run_to_end(start_parquet(stream, out, fresh_dir(spark, "checkpoint")))
+    batch = fitted.label(events).select("earthquake_id", F.col("cluster").alias("own"))
+    labelled = read_enriched(spark, out, CLUSTERED)
+    return labelled.join(batch, "earthquake_id").select(
+        *(name for name in CLUSTERED_COLUMNS if name != "cluster"),
+        (F.col("cluster") == F.col("own")).alias("same"),
+    )
+
+
 def cluster_events_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clustered table, and of each row whether its label names the nearest centre."""
     events = _clean(spark, sf_dir)
@@ -415,6 +458,7 @@ QUERIES: dict[str, Query] = {
     "explode_pages": explode_pages_query,
     "flatten_events": flatten_events_query,
     "dedup_first_seen": dedup_first_seen,
+    "packed_pages": packed_pages,
     "stream_dedup": stream_dedup,
     "state_dedup": state_dedup,
     "continuous_ingest": continuous_ingest,
@@ -437,6 +481,8 @@ QUERIES: dict[str, Query] = {
     "standardize": standardize_query,
     "jsonl_roundtrip": jsonl_roundtrip,
     "csv_roundtrip": csv_roundtrip,
+    "csv_single_file": csv_single_file,
+    "stream_labels": stream_labels,
     "cluster_events": cluster_events_query,
     "cluster_sizes": cluster_sizes_query,
     "cluster_check": cluster_check,

@@ -65,7 +65,5 @@ RAW_EVENT_STRUCT = (
 
 # A response page. `poll` and `feed` come from the landing directory
 # (poll=0/feed=live/...); `page` orders the pages within one of these.
-PAGE = (
-    f"page BIGINT, result ARRAY<{RAW_EVENT_STRUCT}>, _corrupt_record STRING, "
-    "poll INT, feed STRING"
-)
+PAGE_JSON = f"page BIGINT, result ARRAY<{RAW_EVENT_STRUCT}>, _corrupt_record STRING"
+PAGE = f"{PAGE_JSON}, poll INT, feed STRING"

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import csv
+import io
+import uuid
+
+from pyspark.sql import DataFrame, DataFrameWriter
+
+from tremorlane.staging import join_files
 
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -22,12 +28,27 @@ def write_csv(
     Files are bounded because a CSV with line breaks in its fields cannot be
     split when it is read back.
     """
-    (
-        df.write.mode(mode)
-        .option("header", True)
-        .option("escape", '"')
+    _csv(df.write.mode(mode).option("header", True), rows_per_file).csv(path)
+
+
+def _csv(writer: DataFrameWriter, rows_per_file: int) -> DataFrameWriter:
+    return (
+        writer.option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("maxRecordsPerFile", rows_per_file)
-        .csv(path)
     )
+
+
+def write_single_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
+    """One CSV file at `path` with a header, in the order of the rows of `df`, in place of an older one.
+
+    All tasks write parts, without headers, beside it; then the file system
+    joins them, and the file gets its name when it is whole. Nothing is
+    collected and no task holds more than its own rows.
+    """
+    parts = f"{path}.parts-{uuid.uuid4().hex}"
+    _csv(df.write, rows_per_file).csv(parts)
+    header = io.StringIO()
+    csv.writer(header, lineterminator="\n").writerow(df.columns)
+    join_files(df.sparkSession, parts, "part-*", path, header.getvalue().encode())

@@ -43,6 +43,33 @@ def ensure_dir(spark: SparkSession, path: str) -> None:
     files.mkdirs(place)
 
 
+def join_files(spark: SparkSession, folder: str, pattern: str, path: str, head: bytes) -> None:
+    """`head` and then the files of a folder, by name, as one file; the folder is deleted.
+
+    Bytes go from file to file through a buffer, whatever the size. The file
+    gets its name by a move when it is whole, and replaces an older one.
+    """
+    place, files = _located(spark, path)
+    hadoop = spark._jvm.org.apache.hadoop
+    opened = hadoop.fs.Path(f"{folder}/.joined")
+    out = files.create(opened, True)
+    try:
+        out.write(head)
+        found = files.globStatus(hadoop.fs.Path(f"{folder}/{pattern}"))
+        for name in sorted(status.getPath().toString() for status in found):
+            part = files.open(hadoop.fs.Path(name))
+            try:
+                hadoop.io.IOUtils.copyBytes(part, out, 1 << 20, False)
+            finally:
+                part.close()
+    finally:
+        out.close()
+    files.delete(place, True)
+    if not files.rename(opened, place):
+        raise OSError(f"could not move the joined file to {path}")
+    files.delete(hadoop.fs.Path(folder), True)
+
+
 def clear_staging(spark: SparkSession) -> int:
     """Delete the folders this process got from `fresh_dir`; gives their number.
 
