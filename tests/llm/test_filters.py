@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 
+import numpy as np
 import pytest
 
+from tremorlane.llm import toxicity
 from tremorlane.llm.decontaminate import contamination, contamination_digest, drop_contaminated
 from tremorlane.llm.toxicity import drop_toxic, fit_toxicity, score_toxicity, text_features
 from tremorlane.llm.url_filter import judge_urls
@@ -178,3 +181,54 @@ def test_sample_is_bounded(shipped, docs_of):
     )
     assert 0 < len(model.weights) <= 20
     assert text_features(b"Nasty, nasty!") == {b"nasty", b"nas*", b"nast*"}
+
+
+def plain_fit(rows, positive, prior, size):
+    """The non-negative risk and Adam, one number at a time; the slope by the rule of the logistic loss."""
+    weights, bias = [0.0] * size, math.log(prior / (1 - prior))
+    first, second = [0.0] * (size + 1), [0.0] * (size + 1)
+    n_p, n_u = sum(positive), len(positive) - sum(positive)
+    for step in range(1, toxicity.STEPS + 1):
+        margins = [sum(weights[i] for i in row) + bias for row in rows]
+
+        def as_negative(m):
+            return math.log1p(math.exp(m))
+
+        risk_u = sum(as_negative(m) for m, p in zip(margins, positive) if not p) / n_u
+        risk_p = sum(as_negative(m) for m, p in zip(margins, positive) if p) / n_p
+        gradient = [toxicity.DECAY * w for w in weights] + [0.0]
+        for row, m, p in zip(rows, margins, positive):
+            s = 1 / (1 + math.exp(-m))
+            if risk_u - prior * risk_p >= 0:  # positives as such, unlabelled ones less them as negatives
+                slope = prior / n_p * (s - 1) - prior / n_p * s if p else s / n_u
+            else:  # only the negative part, upwards
+                slope = prior / n_p * s if p else -s / n_u
+            for i in [*row, size]:
+                gradient[i] += slope
+        for i, g in enumerate(gradient):
+            first[i] = 0.9 * first[i] + 0.1 * g
+            second[i] = 0.999 * second[i] + 0.001 * g * g
+            up = first[i] / (1 - 0.9**step)
+            move = toxicity.RATE * up / (math.sqrt(second[i] / (1 - 0.999**step)) + 1e-8)
+            if i < size:
+                weights[i] -= move
+            else:
+                bias -= move
+    return weights, bias
+
+
+@pytest.mark.parametrize("overlap", [0.1, 0.9])
+def test_weights_are_those_of_a_plain_loop(overlap):
+    """Also where the negative risk falls below zero, which `overlap` brings about or not."""
+    rng = np.random.default_rng(int(overlap * 10))
+    rows, positive = [], []
+    for i in range(60):
+        toxic = i % 3 == 0
+        shown = rng.random() < (0.9 if toxic else overlap)
+        rows.append(np.sort(rng.choice(8, 3, replace=False) + 2).tolist() + ([0] if shown else [1]))
+        positive.append(toxic)
+    arrays = [np.array(row, np.int64) for row in rows]
+    found, bias = toxicity.fit_weights(arrays, np.array(positive), 0.3, 10)
+    expected, plain_bias = plain_fit(rows, positive, 0.3, 10)
+    assert found.tolist() == pytest.approx(expected, rel=1e-6, abs=1e-9)
+    assert bias == pytest.approx(plain_bias, rel=1e-6)

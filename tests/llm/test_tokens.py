@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import random
 import zlib
 
@@ -12,6 +13,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 import tiktoken
+import xxhash
 from tokenizers import Tokenizer
 
 from tremorlane.llm.byte_bpe import ByteBpe, bpe_decode, bpe_digests, bpe_encode
@@ -131,6 +133,27 @@ def test_chunks_are_the_librarys():
         assert np.frombuffer(ids, "<u4").tolist() == expected, text
 
 
+@pytest.mark.parametrize(
+    "change",
+    [
+        lambda told: told["normalizer"]["normalizers"].pop(),
+        lambda told: told["pre_tokenizer"]["pretokenizers"][0]["pattern"].update(Regex="[a-z]+"),
+        lambda told: told["pre_tokenizer"]["pretokenizers"][1].update(use_regex=True),
+        lambda told: told["added_tokens"][0].update(lstrip=True),
+        lambda told: told["model"].update(dropout=0.1),
+        lambda told: told.update(pre_tokenizer=None),
+    ],
+)
+def test_tokenizers_with_other_rules_are_refused(tmp_path, change):
+    with open(WORDS, encoding="utf-8") as file:
+        told = json.load(file)
+    change(told)
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(told))
+    with pytest.raises(ValueError, match="rules"):
+        LibraryIds(str(path))
+
+
 def test_distinct_words():
     texts = [text.encode() for text in random_texts(6)] + [b"x" * 25 + b" " + b"x" * 26, b"\0 \0\0"]
     unique, place, before = distinct_words(texts)
@@ -144,7 +167,12 @@ def test_distinct_words():
 def test_stored_tokens(odd_docs, odd_rows, no_docs, most):
     library = Tokenizer.from_file(WORDS)
     start, expected = 0, []
-    ordered = sorted(odd_rows, key=lambda row: (row[0] is not None, row[0] or 0, row[1] or ""))
+
+    def place(row):
+        digest = xxhash.xxh64_intdigest((row[1] or "").encode(), 42)
+        return row[0] is not None, row[0] or 0, digest - (digest >> 63 << 64)
+
+    ordered = sorted(odd_rows, key=place)
     for doc_id, text in ordered:
         ids = [*library.encode(text or "", add_special_tokens=False).ids, 1]
         raw = np.array(ids, "<u4").tobytes()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -163,12 +164,55 @@ def _suspects(texts: list[bytes]) -> np.ndarray:
     return found
 
 
+# The rules of the tokenizer files that `LibraryIds` takes.
+_RULES = {
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+    "split": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
+    "byte_level": {"add_prefix_space": False, "use_regex": False},
+    "model": {
+        "type": "BPE",
+        "dropout": None,
+        "unk_token": None,
+        "continuing_subword_prefix": None,
+        "fuse_unk": False,
+        "byte_fallback": False,
+    },
+}
+
+
+def check_rules(path: str) -> None:
+    """Refuse a tokenizer file that normalises or parts texts by other rules."""
+    with open(path, encoding="utf-8") as file:
+        told = json.load(file)
+    steps = (told["pre_tokenizer"] or {}).get("pretokenizers", [])
+    model = told["model"]
+    fits = [
+        (told["normalizer"] or {}).get("normalizers") == _RULES["normalizers"],
+        [step["type"] for step in steps] == ["Split", "ByteLevel"],
+        bool(steps) and steps[0].get("pattern") == {"Regex": _RULES["split"]},
+        bool(steps) and (steps[0].get("behavior"), steps[0].get("invert")) == ("Removed", True),
+        bool(steps) and all(steps[-1].get(k) == v for k, v in _RULES["byte_level"].items()),
+        all(model.get(k, v) == v for k, v in _RULES["model"].items()),
+        all(
+            token["content"].startswith("<|")
+            and not any(token[k] for k in ("single_word", "lstrip", "rstrip", "normalized"))
+            for token in told["added_tokens"]
+        ),
+    ]
+    if not all(fits):
+        raise ValueError(f"{path}: its rules are not those that chunks can be encoded apart by")
+
+
 class LibraryIds:
     """Ids from the tokenizers library, which encodes each different chunk of text once.
 
     A chunk is a run without ASCII white space. The tokenizer must be one that
     drops white space, lower-cases, composes characters and parts letters and
-    digits from other characters, as the file of the query does: then chunks
+    digits from other characters (`check_rules` refuses others): then chunks
     can be encoded apart. So can a full stop or comma and the letter or digit
     before it, and A-Z can be lower-cased beforehand, in texts without
     combining marks (bytes CC and CD, and C4 B0 which lower-cases to one) and
@@ -178,6 +222,7 @@ class LibraryIds:
     """
 
     def __init__(self, path: str):
+        check_rules(path)
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
@@ -296,7 +341,8 @@ def write_tokens(
     files, path = pyarrow.fs.FileSystem.from_uri(root)
     files.create_dir(path, recursive=True)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text"))
-    ordered = source.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    order = [F.col("doc_id"), F.xxhash64("text"), F.col("text")]
+    ordered = source.repartitionByRange(*order[:2]).sortWithinPartitions(*order)
     return staged(ordered.mapInArrow(run, _MANIFEST), "tokens")
 
 
@@ -355,8 +401,8 @@ def stored_tokens(
     `tokenizer` is a file of the tokenizers library that every executor can
     open. Each document ends with `end_id`; null and empty texts have only
     that. Strings of special tokens in a text are encoded as the library does
-    by default. Rows of one doc_id follow one another in the order of their
-    texts, those without a doc_id come first. Only `doc_id` and `text` are
+    by default. Rows of one doc_id follow one another in the order of the XXH64
+    hash (seed 42, signed) of their texts, those without a doc_id come first. Only `doc_id` and `text` are
     read. An empty table gives no rows.
     """
     root = file_uri(fresh_dir(docs.sparkSession, "tokens"))
