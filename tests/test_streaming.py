@@ -11,7 +11,14 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tremorlane.operators import enrich, require_id
+from tremorlane.operators import (
+    clean_events,
+    enrich,
+    magnitude_histogram,
+    require_id,
+    row_count,
+    severity_counts,
+)
 from tremorlane.plans.job import run_live
 from tremorlane.plans.testdata import flat_events
 from tremorlane.schemas import FLAT, MONITOR_COLUMNS
@@ -21,12 +28,15 @@ from tremorlane.streaming import (
     dedup_stream,
     read_event_stream,
     read_landed_stream,
+    read_summary,
     run_for,
     run_to_end,
     start_first_seen,
     start_monitor,
     start_parquet,
+    start_summary,
 )
+from tremorlane.streaming.summary import KEPT
 
 SF = "/root/testdata/sf0.001"
 
@@ -315,6 +325,43 @@ def test_malformed_lines_go_to_a_table_of_their_own(spark, lines, tmp_path):
     assert [json.loads(line)["earthquake_id"] for line, kept in found.items() if kept] == ["text"]
 
 
+def test_a_summary_follows_the_stream(spark, lines, tmp_path):
+    """After every run the reports equal those of a scan; few values make a small state."""
+    kept, check = str(tmp_path / "kept"), str(tmp_path / "check")
+    assert read_summary(spark, kept).count() == 0
+    rng = random.Random(4)
+    for run in range(4):
+        for i in range(3):
+            mags = [rng.choice([0.5, 1.9, 2.0, 3.4, 5.1, run * 1.5, None]) for _ in range(40)]
+            folder = lines([flat(f"e{n}", magnitude=m) for n, m in enumerate(mags)], name=f"{run}{i}.json")
+        stream = clean_events(enrich(read_event_stream(spark, folder, files_per_batch=1)))
+        query = start_summary(stream, kept, check)
+        run_to_end(query)
+        scan = clean_events(enrich(read_events(spark, folder)))
+        summary = read_summary(spark, kept)
+        for report in (severity_counts, magnitude_histogram, row_count):
+            assert report(summary, weight="n").collect() == report(scan).collect()
+    values = scan.select("severity", "magnitude").distinct().count()
+    assert query.lastProgress.stateOperators[0].numRowsTotal == values == summary.count()
+    assert len(list((tmp_path / "kept").iterdir())) <= KEPT
+
+
+def test_a_summary_half_written_is_not_read(spark, lines, tmp_path):
+    kept, check = tmp_path / "kept", str(tmp_path / "check")
+    for i in range(2):
+        folder = lines([flat("a"), flat("b", magnitude=float(i))], name=f"{i}.json")
+        stream = clean_events(enrich(read_event_stream(spark, folder, files_per_batch=1)))
+        run_to_end(start_summary(stream, str(kept), check))
+    whole = sorted(read_summary(spark, str(kept)).collect())
+    newest = sorted(kept.iterdir())[-1]
+    (newest / "_SUCCESS").unlink()
+    (tmp_path / "check" / "commits" / "1").unlink()
+    (tmp_path / "check" / "commits" / ".1.crc").unlink(missing_ok=True)
+    assert row_count(read_summary(spark, str(kept)), weight="n").first().n == 2
+    run_to_end(start_summary(stream, str(kept), check))  # the batch is repeated
+    assert sorted(read_summary(spark, str(kept)).collect()) == whole
+
+
 CONSOLE = """
 import sys
 from pyspark.sql import SparkSession

@@ -26,6 +26,7 @@ from tremorlane.operators.summary import (
     map_points,
     row_count,
     severity_counts,
+    value_counts,
 )
 
 __all__ = [
@@ -52,6 +53,7 @@ __all__ = [
     "row_count",
     "severity_counts",
     "standardize",
+    "value_counts",
     "with_nearest",
     "within_box",
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tremorlane.functions import SEVERITY_LABELS
@@ -14,8 +14,24 @@ from tremorlane.operators.clean import within_box
 HISTOGRAM_BINS = 20
 
 
-def row_count(df: DataFrame) -> DataFrame:
-    return df.agg(F.count("*").alias("n"))
+def _rows(weight: str | None) -> Column:
+    """How many rows there are, or stand behind rows that carry their number."""
+    rows = F.count("*") if weight is None else F.coalesce(F.sum(weight), F.lit(0))
+    return rows.cast("bigint").alias("n")
+
+
+def row_count(df: DataFrame, weight: str | None = None) -> DataFrame:
+    return df.agg(_rows(weight))
+
+
+def value_counts(df: DataFrame, value: str = "magnitude") -> DataFrame:
+    """(severity, value, n): a summary of a table or a stream, from which all counts here follow.
+
+    It has a row for every different value and label. Summaries add up: that
+    of all rows is the sum of those of its parts, so a stream keeps it in its
+    state. Reports take it with `weight="n"`.
+    """
+    return df.groupBy("severity", value).agg(F.count("*").alias("n"))
 
 
 def cluster_sizes(df: DataFrame) -> DataFrame:
@@ -29,13 +45,14 @@ def _counts_over(domain: DataFrame, counts: DataFrame, key: str) -> DataFrame:
     )
 
 
-def severity_counts(df: DataFrame, labels: Sequence[str] = SEVERITY_LABELS) -> DataFrame:
-    """Rows per label, in the given order, zero for labels without rows."""
-    counts = (
-        df.where(F.col("severity").isin(*labels))
-        .groupBy("severity")
-        .agg(F.count("*").alias("n"))
-    )
+def severity_counts(
+    df: DataFrame, labels: Sequence[str] = SEVERITY_LABELS, weight: str | None = None
+) -> DataFrame:
+    """Rows per label, in the given order, zero for labels without rows.
+
+    A row of `df` stands for as many as its column `weight` says, if there is one.
+    """
+    counts = df.where(F.col("severity").isin(*labels)).groupBy("severity").agg(_rows(weight))
     names = F.array(*map(F.lit, labels))
     domain = df.sparkSession.range(0, len(labels), 1, 1).select(
         F.get(names, F.col("id").cast("int")).alias("severity"), F.col("id").alias("_order")
@@ -44,16 +61,23 @@ def severity_counts(df: DataFrame, labels: Sequence[str] = SEVERITY_LABELS) -> D
 
 
 def magnitude_histogram(
-    df: DataFrame, value: str = "magnitude", bins: int = HISTOGRAM_BINS
+    df: DataFrame,
+    value: str = "magnitude",
+    bins: int = HISTOGRAM_BINS,
+    weight: str | None = None,
 ) -> DataFrame:
     """Equal-width bins from the least to the greatest value, the last one closed.
 
+    A row of `df` stands for as many as its column `weight` says, if there is one.
+
     One aggregate brings the two ends of the range to the driver, a second
     pass counts. The edges are, to the last bit, those of numpy.histogram:
     lowest + i * width, and the greatest value itself at the end; equal values
     get a range of one around them. No rows in, no rows out.
     """
-    values = df.select(F.col(value).alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    carried = [] if weight is None else [F.col(weight).alias("w")]
+    values = df.select(F.col(value).alias("v"), *carried)
+    values = values.where(F.col("v").isNotNull() & ~F.isnan("v"))
     least, greatest = values.agg(F.min("v"), F.max("v")).first()
     if least is None:
         return df.sparkSession.createDataFrame([], "bin INT, lo DOUBLE, hi DOUBLE, n BIGINT")
@@ -68,7 +92,7 @@ def magnitude_histogram(
     position = F.when(F.col("v") >= F.lit(edges[bins - 1]), F.lit(bins - 1))
     for i in range(bins - 2, -1, -1):
         position = position.when(F.col("v") >= F.lit(edges[i]), F.lit(i))
-    counts = values.select(position.alias("bin")).groupBy("bin").agg(F.count("*").alias("n"))
+    counts = values.groupBy(position.alias("bin")).agg(_rows(weight and "w"))
     ends = F.array(*map(F.lit, edges))
     domain = (
         df.sparkSession.range(0, bins, 1, 1)

@@ -251,6 +251,11 @@ select longitude, latitude,
 {_BOX}""",
     "severity_counts": f"{_CLEANED} {_SEVERITY_COUNTS}",
     "magnitude_hist": f"{_CLEANED}, {_HISTOGRAM} select bin, lo, hi, n from histogram",
+    "running_reports": f"""
+{_CLEANED}, {_HISTOGRAM}
+select 'rows' as report, 'all' as item, null::double as lo, count(*) as n from clean
+union all select 'severity', severity, null, n from ({_SEVERITY_COUNTS})
+union all select 'magnitude', bin::varchar, lo, n from histogram""",
     "standardize": f"""
 {_CLEANED}
 select earthquake_id,

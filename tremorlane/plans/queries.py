@@ -58,11 +58,13 @@ from tremorlane.staging import fresh_dir
 from tremorlane.streaming import (
     dedup_stream,
     read_event_stream,
+    read_summary,
     run_to_end,
     split_malformed,
     start_first_seen,
     start_monitor,
     start_parquet,
+    start_summary,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -303,6 +305,31 @@ def magnitude_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return magnitude_histogram(_clean(spark, sf_dir))
 
 
+def running_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports from the summary that a stream keeps, after several batches and two runs."""
+    landing, kept = fresh_dir(spark, "landing"), fresh_dir(spark, "summary")
+    checkpoint = fresh_dir(spark, "checkpoint")
+    for half in ("cast(earthquake_id as bigint) % 2 = 0", "cast(earthquake_id as bigint) % 2 = 1"):
+        write_json_lines(flat_events(spark, sf_dir).where(half), landing)
+        events = read_event_stream(spark, landing, files_per_batch=4)
+        run_to_end(start_summary(clean_events(enrich(events)), kept, checkpoint))
+    summary = read_summary(spark, kept)
+    bins = magnitude_histogram(summary, weight="n")
+    no_edge = F.lit(None).cast("double")
+    return (
+        row_count(summary, weight="n")
+        .select(F.lit("rows").alias("report"), F.lit("all").alias("item"), no_edge.alias("lo"), "n")
+        .unionByName(
+            severity_counts(summary, weight="n").select(
+                F.lit("severity").alias("report"), F.col("severity").alias("item"), no_edge.alias("lo"), "n"
+            )
+        )
+        .unionByName(
+            bins.select(F.lit("magnitude").alias("report"), F.col("bin").cast("string").alias("item"), "lo", "n")
+        )
+    )
+
+
 def standardize_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     scaled = standardize(_clean(spark, sf_dir).select("earthquake_id", *KEY_COLUMNS))
     return scaled.select(
@@ -478,6 +505,7 @@ QUERIES: dict[str, Query] = {
     "map_points": map_points_query,
     "severity_counts": severity_counts_query,
     "magnitude_hist": magnitude_hist,
+    "running_reports": running_reports,
     "standardize": standardize_query,
     "jsonl_roundtrip": jsonl_roundtrip,
     "csv_roundtrip": csv_roundtrip,

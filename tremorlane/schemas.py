@@ -32,6 +32,8 @@ CLUSTERED_COLUMNS = {
     "cluster": "INT",
 }
 
+SUMMARY = "severity STRING, magnitude DOUBLE, n BIGINT"
+
 MONITOR_COLUMNS = ("event_time", "magnitude", "depth", "severity", "region")
 
 

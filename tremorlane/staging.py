@@ -37,6 +37,18 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def finished_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders under `path` that a writer has finished, by name."""
+    pattern, files = _located(spark, f"{path}/*/_SUCCESS")
+    found = files.globStatus(pattern) or []  # nothing where there is no such folder
+    return sorted(mark.getPath().getParent().getName() for mark in found)
+
+
+def delete_dir(spark: SparkSession, path: str) -> None:
+    place, files = _located(spark, path)
+    files.delete(place, True)
+
+
 def ensure_dir(spark: SparkSession, path: str) -> None:
     """Make a folder, for a stream that watches it before anything is there."""
     place, files = _located(spark, path)
