@@ -7,6 +7,7 @@ import re
 from functools import cache
 from heapq import heapify, heappop, heappush
 from itertools import accumulate
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,7 @@ from tremorlane.llm.common import Remembered, map_slices, utf8
 from tremorlane.llm.ragged import distinct_parts, spread
 
 CACHED = 250_000  # words a worker remembers between slices, and as many fragments
+_FEW = 48  # symbols whose ranks are quicker to look through than to keep in a heap
 WHITE = b" \t\n\v\f\r"
 
 # Fixed value: how the byte-level pre-tokenizer parts a text.
@@ -91,6 +93,8 @@ class BoundaryBpe:
             key = vocabulary[left] * self.size + vocabulary[right]
             self.merges[key] = rank, vocabulary[left + right]
 
+        self.never = len(self.merges), -1
+
         self.specials = {text.encode(): number for number, text in added.items() if specials}
         names = sorted(map(re.escape, self.specials), key=len, reverse=True)
         self.special = re.compile(b"(%b)" % b"|".join(names)) if names else None
@@ -148,7 +152,29 @@ class BoundaryBpe:
 
     def _merged(self, text: bytes) -> bytes:
         """Ids of one fragment: the least rank first, the leftmost of equal ranks."""
-        symbols = [self.of_byte[byte] for byte in text]
+        symbols = list(map(self.of_byte.__getitem__, text))
+        merge = self._merge_few if len(symbols) <= _FEW else self._merge_many
+        return pack(f"<{len(symbols := merge(symbols))}I", *symbols)
+
+    def _merge_few(self, symbols: list[int]) -> list[int]:
+        """Look through all ranks for the least one, which is quickest where they are few."""
+        size, find, never = self.size, self.merges.get, self.never
+        pairs = zip(symbols, symbols[1:], strict=False)
+        found = [find(left * size + right, never) for left, right in pairs]
+        while found:
+            least = min(found)
+            if least is never:
+                break
+            at = found.index(least)
+            symbols[at : at + 2] = [least[1]]
+            del found[at]
+            if at:
+                found[at - 1] = find(symbols[at - 1] * size + least[1], never)
+            if at < len(found):
+                found[at] = find(least[1] * size + symbols[at + 1], never)
+        return symbols
+
+    def _merge_many(self, symbols: list[int]) -> list[int]:
         size, find = self.size, self.merges.get
         pairs = zip(symbols, symbols[1:], strict=False)
         found = [find(left * size + right) for left, right in pairs]
@@ -177,7 +203,7 @@ class BoundaryBpe:
                                 ranks[left] = merge[0]
                                 heappush(order, (merge[0], left))
             symbols = [symbol for symbol in symbols if symbol >= 0]
-        return np.array(symbols, "<u4").tobytes()
+        return symbols
 
     def _bounds(self, word: bytes) -> list[int]:
         """Where the pre-tokens of a word begin, but for the first."""
