@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import cache
 from hashlib import sha256
-from itertools import accumulate
+from itertools import accumulate, compress
 from typing import NamedTuple
 
 import numpy as np
@@ -206,27 +206,34 @@ class Aligner:
         new = self.known.absent(words)
         if new:
             a, b = self.ids(new)
-            sound = [self.bytes_of(ids) == word for word, ids in zip(new, b, strict=True)]
-            good = [i for i, fits in enumerate(sound) if fits]
-            tokens = self.tokens(b"".join(a[i] for i in good), b"".join(b[i] for i in good))
+            if self.bytes_of(b"".join(b)) != b"".join(new):
+                sound = [self.bytes_of(ids) == word for word, ids in zip(new, b, strict=True)]
+                odd = Word(b"", b"", 0, 0, 0, False)
+                self.known.update((new[i], odd) for i, fits in enumerate(sound) if not fits)
+                new, a, b = (list(compress(side, sound)) for side in (new, a, b))
+            tokens = self.tokens(b"".join(a), b"".join(b))
             texts, ends = tokens.groups()
             pairs, upto = tokens.links()
             raw = pairs.tobytes()
-            bounds = list(accumulate((len(new[i]) for i in good), initial=0))
-            cuts = np.searchsorted(ends, bounds, "right").tolist()
-            links = np.searchsorted(upto, bounds, "right").tolist()
-            for i, fits in enumerate(sound):
-                if not fits:
-                    self.known[new[i]] = Word(b"", b"", 0, 0, 0, False)
-            for n, i in enumerate(good):
-                self.known[new[i]] = Word(
-                    b";".join(texts[cuts[n] : cuts[n + 1]]),
-                    raw[8 * links[n] : 8 * links[n + 1]],
-                    len(a[i]) // 4,
-                    len(b[i]) // 4,
-                    cuts[n + 1] - cuts[n],
+            bounds = np.fromiter(accumulate(map(len, new)), np.int64, len(new))
+            begin = cut = 0
+            for word, left, right, end, last in zip(
+                new,
+                a,
+                b,
+                (8 * np.searchsorted(upto, bounds, "right")).tolist(),
+                np.searchsorted(ends, bounds, "right").tolist(),
+                strict=True,
+            ):
+                self.known[word] = Word(
+                    texts[cut] if last == cut + 1 else b";".join(texts[cut:last]),
+                    raw[begin:end],
+                    len(left) // 4,
+                    len(right) // 4,
+                    last - cut,
                     True,
                 )
+                begin, cut = end, last
         return list(map(self.known.__getitem__, words))
 
     def block(self, doc_ids: list[int | None], texts: list[bytes]) -> dict:
