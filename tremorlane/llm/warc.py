@@ -169,7 +169,8 @@ def planned(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
         F.col("page_id").cast("long").alias("page_id"),
         F.col("url"),
         payload.alias("payload"),
-        F.sha1(payload).alias("sha"),
+        # Two digests, as different payloads with one SHA-1 can be made.
+        F.concat(F.sha1(payload), F.sha2(payload, 256)).alias("sha"),
     )
     large = own.where(F.octet_length("payload") >= min_bytes)
     first = large.groupBy("sha").agg(F.max("page_id").alias("original"), F.count("*").alias("n"))
