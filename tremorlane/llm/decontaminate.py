@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
+import xxhash
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,8 +17,9 @@ from pyspark.sql import functions as F
 from tremorlane.llm.common import filter_texts, slices, staged, utf8
 
 WINDOW = 10
-#: Windows of so many bytes go into one automaton, which takes some 50 bytes for each.
-PATTERN_BYTES = 4 << 20
+ANCHOR = 5  # words by which a window is found
+#: Windows of so many bytes go into one automaton, with their ids.
+PATTERN_BYTES = 64 << 20
 _CUTS = bytes(i if 0x30 <= i <= 0x39 or 0x61 <= i <= 0x7A or i >= 0x80 else 0x20 for i in range(256))
 _MOST = 1 << 14  # windows of an item made at a time
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -31,46 +33,76 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 def windows(text: bytes, length: int = WINDOW) -> Iterator[set[bytes]]:
-    """The windows of an item, `_MOST` at a time, as words with one space around and between."""
+    """The windows of an item, `_MOST` at a time, as words with one space between."""
     words = words_of(text)
     count = max(1, len(words) - length + 1) if words else 0
     for first in range(0, count, _MOST):
         some = range(first, min(first + _MOST, count))
-        yield {b" %b " % b" ".join(words[i : i + length]) for i in some}
+        yield {b" ".join(words[i : i + length]) for i in some}
 
 
-@lru_cache(maxsize=1)
-def automaton(block: Broadcast) -> ahocorasick.Automaton:
-    """All windows of a block; each leads to its items, its words and its size.
+def anchor(words: list[bytes]) -> int:
+    """Where the `ANCHOR` words of a window begin that stand for it: those of least hash.
+
+    Windows that overlap mostly have one anchor, so there are far fewer
+    anchors than windows.
+    """
+    spots = range(max(1, len(words) - ANCHOR + 1))
+    return min(spots, key=lambda i: xxhash.xxh3_64_intdigest(b" ".join(words[i : i + ANCHOR])))
+
+
+class Matcher:
+    """One automaton for all windows of a block.
 
-    Texts are matched as one character per byte, which UTF-8 allows.
+    It works on words, each a number, and holds the anchors of the windows.
+    Where an anchor occurs, the windows that have theirs there are looked up
+    in full, at most one for each place that the anchor has in them.
     """
-    owners: dict[bytes, set[str | None]] = defaultdict(set)
-    for item_id, window in block.value:
-        owners[window].add(item_id)
-    built = ahocorasick.Automaton()
-    for window, ids in owners.items():
-        value = (tuple(ids), window.count(b" ") - 1, len(window))
-        built.add_word(window.decode("latin-1"), value)
-    built.make_automaton()
-    return built
-
-
-def hits(words: list[bytes], machine: ahocorasick.Automaton) -> tuple[Runs, set[str | None]]:
-    """Runs (first, end) of words inside an occurring window, and the items that occur."""
-    found, items = [], set()
-    plain = f" {b' '.join(words).decode('latin-1')} "
-    if len(machine):
-        for last, (ids, count, size) in machine.iter(plain):
-            found.append((last - size + 1, count))
-            items.update(ids)
-    found.sort()
-    runs, at, word = [], 0, 0
-    for start, count in found:  # a window starts at the space before its first word
-        word += plain.count(" ", at, start)
-        at = start
-        runs.append((word, word + count))
-    return joined(runs), items
+
+    def __init__(self, block: Iterable[tuple[str | None, bytes]]):
+        self.owners: dict[bytes, tuple[str | None, ...]] = {}
+        self.numbers: dict[bytes, int] = {}
+        self.machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        places: dict[tuple[int, ...], set[tuple[int, int]]] = defaultdict(set)
+        for item_id, window in block:
+            known = self.owners.get(window)
+            self.owners[window] = (item_id,) if known is None else (*known, item_id)
+            if known is None:
+                words = window.split()
+                at = anchor(words)
+                key = tuple(
+                    self.numbers.setdefault(word, len(self.numbers) + 1)
+                    for word in words[at : at + ANCHOR]
+                )
+                places[key].add((at, len(words)))
+        for key, spots in places.items():
+            self.machine.add_word(key, (len(key), tuple(spots)))
+        self.machine.make_automaton()
+
+    def hits(self, words: list[bytes]) -> tuple[Runs, set[str | None]]:
+        """Runs (first, end) of words inside an occurring window, and the items that occur."""
+        runs, items = [], set()
+        if self.numbers and words:
+            find = self.numbers.get
+            numbers = tuple([find(word, 0) for word in words])
+            for last, (size, spots) in self.machine.iter(numbers):
+                for at, count in spots:
+                    first = last - size + 1 - at
+                    if first < 0 or first + count > len(words):
+                        continue
+                    ids = self.owners.get(b" ".join(words[first : first + count]))
+                    if ids is not None:
+                        runs.append((first, first + count))
+                        items.update(ids)
+        return joined(runs), items
+
+
+@lru_cache(maxsize=1)
+def matcher(block: Broadcast) -> Matcher:
+    """The windows of a block, from the Arrow table that was broadcast."""
+    found = pa.ipc.open_stream(block.value).read_all()
+    columns = (found.column(name) for name in ("item_id", "window"))
+    return Matcher((i.as_py(), w.as_py()) for i, w in zip(*columns, strict=True))
 
 
 def joined(runs: Runs) -> Runs:
@@ -118,7 +150,7 @@ _RESULT_DDL = f"doc_id long, n_words long, n_hit long, items array<string>, span
 def _scan(state: DataFrame, block: Broadcast, last: bool) -> DataFrame:
     def row(doc_id, text, runs, items):
         words = words_of(text)
-        new, ids = hits(words, automaton(block))
+        new, ids = matcher(block).hits(words)
         runs = joined([*((run["start"], run["end"]) for run in runs), *new])
         items = sorted({*items, *ids} - {None})
         if not last:
@@ -175,8 +207,10 @@ def _blocks(benchmark: DataFrame, window: int, most: int) -> Iterator[Callable[[
         part = dealt.where(F.col("block") == number).select("item_id", "window")
 
         def collect(part=part):
-            rows = [(row["item_id"], bytes(row["window"])) for row in part.collect()]
-            return context.broadcast(rows)
+            rows, sink = part.toArrow(), pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows.schema) as out:
+                out.write_table(rows)
+            return context.broadcast(sink.getvalue().to_pybytes())
 
         yield collect
 
@@ -235,8 +269,8 @@ def drop_contaminated(
         shared = block()
 
         def clean(texts: list[bytes], shared=shared) -> list[bool]:
-            machine = automaton(shared)
-            return [not hits(words_of(text), machine)[0] for text in texts]
+            found = matcher(shared).hits
+            return [not found(words_of(text))[0] for text in texts]
 
         kept = filter_texts(staged(kept, "clean") if number else kept, clean)
     return kept
