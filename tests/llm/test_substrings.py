@@ -8,6 +8,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 
 import tremorlane.llm.substring_dedup as module
 from tremorlane.llm.substring_dedup import contexts, remove_repeats, repeat_digest
@@ -129,9 +130,24 @@ def test_odd_documents(odd_docs, odd_rows, no_docs):
     assert remove_repeats(no_docs).count() == 0
 
 
-def test_rows_without_id_come_last(docs_of):
+def test_rows_that_share_an_id_are_documents_of_their_own(docs_of):
+    """Against windows of all rows in their stated order; no unique byte goes."""
     random.seed(8)
-    text = "".join(random.choices("abcdef ", k=300))
-    rows = remove_repeats(docs_of([(None, text), (5, text), (None, text[::-1])])).collect()
-    assert sorted(len(row["kept"]) for row in rows if row["doc_id"] is None) == [0, 300]
-    assert [len(row["kept"]) for row in rows if row["doc_id"] == 5] == [300]
+
+    def letters(n):
+        return "".join(random.choices("abcdefghij ", k=n))
+
+    shared, other = letters(200), letters(260)
+    rows = [(1, shared), (5, shared + letters(50)), (5, letters(300)), (5, other), (5, other)]
+    rows += [(5, letters(150) + other[:120]), (None, shared), (None, letters(300)), (None, other)]
+    rows += [(None, letters(30) + shared), (4, letters(130)), (6, other), (6, other), (7, None)]
+
+    def place(row):
+        digest = xxhash.xxh64_intdigest((row[1] or "").encode(), 42)
+        return row[0] is None, row[0] or 0, digest - (digest >> 63 << 64)
+
+    ordered = sorted(rows, key=place)
+    expected = plain([(i, text or "") for i, (_, text) in enumerate(ordered)])
+    expected = sorted((doc_id or -1, *expected[i]) for i, (doc_id, _) in enumerate(ordered))
+    found = repeat_digest(docs_of(rows)).collect()
+    assert sorted((row[0] or -1, *row[1:]) for row in found) == expected

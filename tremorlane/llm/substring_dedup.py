@@ -21,7 +21,6 @@ PIECE_BYTES = 1 << 20  # a longer text is looked through in pieces that overlap
 POOL_BYTES = 32 << 20  # equal contexts of so much text are brought together before the shuffle
 BLOCK_BYTES = 256 << 10  # text of one suffix array
 GROUP = 1_024  # contexts of an anchor that are decided in one block; more are dealt out
-_NO_ID = 1 << 62  # rows without an id come last, ordered by a hash of their texts
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _PLACE = np.uint64(24)
@@ -457,24 +456,28 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     strings are judged on the whole texts as they come, in UTF-8; none reaches
     across documents. `kept` are the other bytes, `spans` the removed runs, as
     (start, end) offsets; both may cut characters apart. Null and empty texts
-    have no bytes, texts below LENGTH lose none. Rows without a doc_id come
-    after all others, in the order of a hash of their texts. Rows that share a
-    doc_id, and their positions in it, count as one document: identical ones
-    do not repeat each other. An empty table gives no rows. Only `doc_id` and
-    `text` are read.
+    have no bytes, texts below LENGTH lose none. Every row is a document of its
+    own: rows of one doc_id follow one another in the order of the XXH64 hash
+    (seed 42, signed) of their texts, and rows without a doc_id come after all
+    others, in the same order; of identical rows one is the first. An empty
+    table gives no rows. Only `doc_id` and `text` are read, whatever other
+    columns are called.
     """
-    text = utf8("text")
-    doc_id = F.col("doc_id").cast("long")
-    unnamed = F.lit(_NO_ID).bitwiseOR(F.xxhash64(text).bitwiseAND(F.lit(_NO_ID - 1)))
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), F.col("tie")]
     source = docs.select(
-        doc_id.alias("doc_id"), F.coalesce(doc_id, unnamed).alias("ord"), text.alias("text")
+        F.col("doc_id").cast("long").alias("doc_id"),
+        utf8("text").alias("text"),
+        F.monotonically_increasing_id().alias("tie"),
     )
+    # Sorted by ranges, the numbers that tasks give to their rows are the order of all rows.
+    ordered = source.repartitionByRange(*order).sortWithinPartitions(*order).drop("tie")
+    numbered = staged(ordered.withColumn("ord", F.monotonically_increasing_id()), "ordered")
     cuts = (
-        repeated_stretches(source.select("ord", "text"))
-        .groupBy(F.col("ord").alias("_ord"))
+        repeated_stretches(numbered.select("ord", "text"))
+        .groupBy("ord")
         .agg(F.collect_list(F.struct("at", "size")).alias("cuts"))
     )
-    joined = source.join(cuts, source["ord"] == cuts["_ord"], "left")
+    joined = numbered.join(cuts, "ord", "left")
     return joined.select("doc_id", "text", "cuts").mapInArrow(
         _apply,
         "doc_id long, n_bytes long, kept binary, spans array<struct<start: long, end: long>>",
