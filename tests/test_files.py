@@ -2,8 +2,12 @@ from __future__ import annotations
 
 import csv
 import json
+from operator import itemgetter
 from pathlib import Path
 
+import pytest
+from pyspark.sql import functions as F
+
 from tremorlane.schemas import CLUSTERED, FLAT
 from tremorlane.sinks import write_csv, write_json_lines, write_single_csv
 from tremorlane.sources import read_csv, read_enriched, read_events
@@ -115,3 +119,39 @@ def test_one_csv_file_keeps_texts(spark, tmp_path):
     assert sorted(read, key=str) == sorted(expected, key=str)
     write_single_csv(clustered(spark).limit(0), path)
     assert read_csv(spark, path).count() == 0 and Path(path).is_file()
+
+
+@pytest.fixture
+def small_blocks(spark):
+    """Splits of 64 bytes, so that fields, records and runs of line breaks reach over several."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "64")
+    yield spark
+    spark.conf.set(name, before)
+
+
+def test_one_csv_file_is_read_by_many_tasks(small_blocks, tmp_path):
+    spark, path = small_blocks, str(tmp_path / "one.csv")
+    texts = [*TEXTS, "\ufeffmark", "end\r", "\n", '"\n"', "\n\n" + "long " * 60 + '\n\n"\n\n']
+    rows = [(x, i, y) for i, (x, y) in enumerate((x, y) for x in texts for y in texts)]
+    schema = "a string, n int, `b \"x` string"
+    write_single_csv(spark.createDataFrame(rows, schema).repartition(3), path)
+    table = read_csv(spark, path, schema)
+    assert sorted(map(tuple, table.collect()), key=itemgetter(1)) == rows
+    parts = table.select(F.spark_partition_id().alias("task")).groupBy("task").count().collect()
+    assert len(parts) > 50 and max(row["count"] for row in parts) < len(rows) / 4
+
+
+def test_headers_of_csv_files(small_blocks, tmp_path):
+    """Every file has its own, maybe after a byte order mark and with line ends of two characters."""
+    for i, end in enumerate(("\n", "\r\n")):
+        text = "\ufeff" * i + end.join(["A,n,\"line\nbreak\"", f"x{i},{i},", "", f'"y\n{i}",7,z', end])
+        (tmp_path / f"{i}.csv").write_bytes(text.encode())
+    (tmp_path / "none.csv").touch()
+    found = read_csv(small_blocks, str(tmp_path), "a string, n int, `line\nbreak` string").collect()
+    expected = [("x0", 0, None), ("x1", 1, None), ("y\n0", 7, "z"), ("y\n1", 7, "z")]
+    assert sorted(map(tuple, found)) == expected
+    for other in ("a string, n int, c string", "a string, n int", "a string, n int, `line\nbreak` string, d int"):
+        with pytest.raises(Exception, match="CSV header does not conform"):
+            read_csv(small_blocks, str(tmp_path), other).collect()

@@ -25,8 +25,8 @@ def write_csv(
 ) -> None:
     """A folder of CSV files with headers, inner quotes doubled, blanks kept.
 
-    Files are bounded because a CSV with line breaks in its fields cannot be
-    split when it is read back.
+    Files are bounded because readers other than `read_csv` cannot split a CSV
+    with line breaks in its fields.
     """
     _csv(df.write.mode(mode).option("header", True), rows_per_file).csv(path)
 

@@ -10,9 +10,12 @@ import logging
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tremorlane.schemas import CLUSTERED, ENRICHED, FLAT
+from tremorlane.sources.records import csv_records
 
 log = logging.getLogger(__name__)
 
@@ -51,15 +54,35 @@ def read_enriched(spark: SparkSession, path: str, schema: str = ENRICHED) -> Dat
 
 
 def read_csv(spark: SparkSession, path: str, schema: str = CLUSTERED) -> DataFrame:
-    """A table written by `write_csv`; line breaks inside fields are kept.
+    """A table written by `write_csv` or `write_single_csv`; line breaks inside fields are kept.
 
-    That needs one task per file, so the writer bounds the size of its files.
+    Spark's own reader takes a file as a whole where fields may have line
+    breaks. Here the records are found by blocks of the files, so the size of
+    one file bounds nothing. A file whose header names other columns than
+    `schema` is refused.
     """
-    reader = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
-        .option("multiLine", True)
-        .option("enforceSchema", False)
-    )
-    return _or_empty(spark, path, schema, lambda: reader.csv(path))
+    fields = StructType.fromDDL(schema).fields
+    options = {"escape": '"', "multiLine": "true", "lineSep": "\n"}
+
+    def parsed(record: Column, kinds: list[str]) -> Column:
+        """Fields c1, c2 .. behind an empty one; the parser drops a byte order mark that begins its first record."""
+        names = ", ".join(f"c{i} {kind}" for i, kind in enumerate(["STRING", *kinds]))
+        return F.from_csv(F.concat(F.lit(","), record), names, options)
+
+    def load() -> DataFrame:
+        record = F.rtrim(F.col("record"), F.lit("\r"))
+        told = parsed(F.ltrim(record, F.lit("\ufeff")), ["STRING"] * (len(fields) + 1))
+        names = [*(F.lit(field.name.lower()) for field in fields), F.lit(None).cast("string")]
+        found = (F.lower(told[f"c{i}"]) for i in range(1, len(names) + 1))
+        same = F.array(*found).eqNullSafe(F.array(*names))
+        refused = F.concat(F.lit("CSV header does not conform to the schema: "), record)
+        checked = F.when(same, False).otherwise(F.raise_error(refused).cast("boolean"))
+        return (
+            csv_records(spark, path)
+            .where(~F.col("header") | checked)
+            .where(record != "")
+            .select(parsed(record, [field.dataType.simpleString() for field in fields]).alias("row"))
+            .select(*(F.col("row")[f"c{i}"].alias(field.name) for i, field in enumerate(fields, 1)))
+        )
+
+    return _or_empty(spark, path, schema, load)
