@@ -91,3 +91,19 @@ def test_table(library, odd_docs, odd_rows, no_docs):
         (text or "").encode() for _, text in odd_rows
     )
     assert boundary_digests(no_docs, PATH).count() == 0
+
+
+def test_fragments_merged_in_step_are_merged_one_by_one():
+    """Many fragments in step, with repeats and equal ranks, against each on its own."""
+    coder = BoundaryBpe(PATH)
+    rng = np.random.default_rng(11)
+    for letters in (b"aan the", bytes(range(256)), "éñ日ation ".encode()):
+        texts = [bytes(rng.choice(list(letters), int(size))) for size in rng.integers(1, 60, 800)]
+        texts += [b"a" * size for size in range(1, 60)]
+        expected = []
+        for text in texts:
+            symbols = coder._merge_many([coder.of_byte[byte] for byte in text])
+            expected.append(np.array(symbols, "<u4").tobytes())
+        assert coder._merge_short(texts) == expected
+        assert coder._merged(texts) == expected
+    assert coder._merged([]) == []

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import cache
 from hashlib import sha256
-from itertools import accumulate, compress
+from itertools import accumulate, chain, compress, pairwise, repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -182,6 +182,10 @@ class Aligner:
         ]
         self.a_sizes = np.array([len(token or b"") for token in self.coder.tokens])
         self.b_sizes = np.array(list(map(len, self.pieces)))
+        #: Ids as text, before a comma, the end of a group's first side and the end of a group.
+        most = max(len(self.a_sizes), len(self.b_sizes))
+        self.written = [b"%d%b" % (i, sign) for i in range(most) for sign in (b",", b"|", b";")]
+        self.written_sizes = np.array(list(map(len, self.written)))
         self.known = Remembered(CACHED)
 
     def starts(self, joined: bytes, bounds: np.ndarray) -> np.ndarray:
@@ -191,7 +195,9 @@ class Aligner:
         """Ids of words that begin with a space, on both sides."""
         found = self.library.encode([word[1:].decode() for word in words], num_threads=1)
         found = [self.space if word == b" " else ids for word, ids in zip(words, found, strict=True)]
-        return self.coder.encode(words), [np.array(ids, "<u4").tobytes() for ids in found]
+        cuts = list(accumulate(map(len, found), initial=0))
+        raw = np.fromiter(chain.from_iterable(found), "<u4", cuts[-1]).tobytes()
+        return self.coder.encode(words), [raw[4 * i : 4 * j] for i, j in pairwise(cuts)]
 
     def tokens(self, a: bytes, b: bytes, first: int = 0) -> Tokens:
         """Ids with the offsets of their ends, counted from `first`."""
@@ -211,31 +217,40 @@ class Aligner:
                 odd = Word(b"", b"", 0, 0, 0, False)
                 self.known.update((new[i], odd) for i, fits in enumerate(sound) if not fits)
                 new, a, b = (list(compress(side, sound)) for side in (new, a, b))
-            tokens = self.tokens(b"".join(a), b"".join(b))
-            texts, ends = tokens.groups()
-            pairs, upto = tokens.links()
-            raw = pairs.tobytes()
-            bounds = np.fromiter(accumulate(map(len, new)), np.int64, len(new))
-            begin = cut = 0
-            for word, left, right, end, last in zip(
-                new,
-                a,
-                b,
-                (8 * np.searchsorted(upto, bounds, "right")).tolist(),
-                np.searchsorted(ends, bounds, "right").tolist(),
-                strict=True,
-            ):
-                self.known[word] = Word(
-                    texts[cut] if last == cut + 1 else b";".join(texts[cut:last]),
-                    raw[begin:end],
-                    len(left) // 4,
-                    len(right) // 4,
-                    last - cut,
-                    True,
-                )
-                begin, cut = end, last
+            self.known.update(zip(new, self.aligned(new, a, b), strict=True))
         return list(map(self.known.__getitem__, words))
 
+    def aligned(self, words: list[bytes], a: list[bytes], b: list[bytes]) -> Iterator[Word]:
+        """Words with their ids, which give them back byte by byte, aligned in one pass."""
+        tokens = self.tokens(b"".join(a), b"".join(b))
+        upto = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        # By byte: 1 where a token of the first side ends, 2 of the second, 3 of both.
+        marks = np.zeros(int(upto[-1]) + 1 if len(upto) else 1, np.uint8)
+        marks[tokens.a_ends] = 1
+        marks[tokens.b_ends] |= 2
+        ends = np.flatnonzero(marks)
+        kind = marks[ends]
+        is_a, is_b, shut = kind & 1 > 0, kind > 1, kind == 3
+        n_a, n_b, n_groups = (np.r_[0, np.cumsum(side)] for side in (is_a, is_b, shut))
+        pairs = tokens.a[n_a[:-1]].astype(np.int64) << _ID | tokens.b[n_b[:-1]]
+        last = np.searchsorted(ends, upto, "right")
+        # Every token writes its id and what follows it; those of a group stand together, the first side first.
+        closes = np.flatnonzero(shut)
+        to_a, to_b = n_a[closes + 1], n_b[closes + 1]
+        of_a, of_b = n_groups[:-1][is_a], n_groups[:-1][is_b]
+        written = np.empty(len(tokens.a) + len(tokens.b), np.int64)
+        last_a, last_b = np.zeros(len(tokens.a), bool), np.zeros(len(tokens.b), bool)
+        last_a[to_a - 1] = last_b[to_b - 1] = True
+        written[np.arange(len(of_a)) + np.r_[0, to_b][of_a]] = tokens.a.astype(np.int64) * 3 + last_a
+        written[np.arange(len(of_b)) + to_a[of_b]] = tokens.b.astype(np.int64) * 3 + 2 * last_b
+        text = b"".join(map(self.written.__getitem__, written.tolist()))
+        behind = np.r_[0, np.cumsum(self.written_sizes[written])][n_a[last] + n_b[last]]
+        raw = pairs.tobytes()
+        texts = (text[i : j - 1] for i, j in pairwise([0, *behind.tolist()]))
+        links = (raw[i:j] for i, j in pairwise([0, *(8 * last).tolist()]))
+        counts = (np.diff(side[last], prepend=0).tolist() for side in (n_a, n_b, n_groups))
+        return map(Word._make, zip(texts, links, *counts, repeat(True, len(words)), strict=True))
+
     def block(self, doc_ids: list[int | None], texts: list[bytes]) -> dict:
         """A block of documents; each is the composition of its words' fragments, made in bulk."""
         units = [b" " + text if text else b"" for text in texts]
@@ -250,23 +265,18 @@ class Aligner:
             upto = np.r_[0, np.cumsum(values[place])]
             return upto[before[1:]] - upto[before[:-1]]
 
-        n_a, n_b, count = (
-            summed(np.array([getattr(word, name) for word in found], np.int64))
-            for name in ("n_a", "n_b", "count")
-        )
-        unsound = summed(np.array([not word.sound for word in found], np.int64)) > 0
+        of_word, links, *numbers, sound = zip(*found, strict=True) if found else [()] * 6
+        n_a, n_b, count = (summed(np.array(side, np.int64)) for side in numbers)
+        unsound = summed(~np.array(sound, bool)) > 0
         for numbers in (n_a, n_b, count):
             numbers[unsound] = 0
-        of_word = [word.text for word in found]
         at = place.tolist()
         digests = [
             "" if bad or i == j else sha256(b";".join([of_word[n] for n in at[i:j]])).hexdigest()
             for bad, i, j in zip(unsound.tolist(), before.tolist(), before[1:].tolist(), strict=False)
         ]
-        sizes = np.array([len(word.links) // 8 for word in found], np.int64)
-        pairs, index = np.unique(
-            np.frombuffer(b"".join(word.links for word in found), np.int64), return_inverse=True
-        )
+        sizes = np.fromiter(map(len, links), np.int64, len(links)) // 8
+        pairs, index = np.unique(np.frombuffer(b"".join(links), np.int64), return_inverse=True)
         linked, upto = taken(index, sizes, place)
         doc = np.repeat(np.arange(len(texts)), upto[before[1:]] - upto[before[:-1]])
         code = (doc * max(1, len(pairs)) + linked)[~unsound[doc]]

@@ -20,7 +20,7 @@ from tremorlane.llm.common import Remembered, map_slices, utf8
 from tremorlane.llm.ragged import distinct_parts, spread
 
 CACHED = 250_000  # words a worker remembers between slices, and as many fragments
-_FEW = 48  # symbols whose ranks are quicker to look through than to keep in a heap
+_FEW = 48  # bytes of fragments that are merged in step; longer ones would need too many rounds
 WHITE = b" \t\n\v\f\r"
 
 # Fixed value: how the byte-level pre-tokenizer parts a text.
@@ -93,7 +93,13 @@ class BoundaryBpe:
             key = vocabulary[left] * self.size + vocabulary[right]
             self.merges[key] = rank, vocabulary[left + right]
 
-        self.never = len(self.merges), -1
+        self.never = len(told["model"]["merges"])
+        known = sorted((key, *merge) for key, merge in self.merges.items())
+        known.append((2**62, 0, 0))  # so that every search ends at a pair
+        keys, ranks, results = zip(*known, strict=True)
+        self.merge_keys, self.merge_ranks = np.array(keys, np.int64), np.array(ranks, np.int32)
+        self.merge_results = np.zeros(self.never, np.int32)
+        self.merge_results[self.merge_ranks[:-1]] = results[:-1]
 
         self.specials = {text.encode(): number for number, text in added.items() if specials}
         names = sorted(map(re.escape, self.specials), key=len, reverse=True)
@@ -150,29 +156,61 @@ class BoundaryBpe:
         begin[bounds[bounds < len(codes)]] = True
         return np.flatnonzero(begin)
 
-    def _merged(self, text: bytes) -> bytes:
-        """Ids of one fragment: the least rank first, the leftmost of equal ranks."""
-        symbols = list(map(self.of_byte.__getitem__, text))
-        merge = self._merge_few if len(symbols) <= _FEW else self._merge_many
-        return pack(f"<{len(symbols := merge(symbols))}I", *symbols)
-
-    def _merge_few(self, symbols: list[int]) -> list[int]:
-        """Look through all ranks for the least one, which is quickest where they are few."""
-        size, find, never = self.size, self.merges.get, self.never
-        pairs = zip(symbols, symbols[1:], strict=False)
-        found = [find(left * size + right, never) for left, right in pairs]
-        while found:
-            least = min(found)
-            if least is never:
-                break
-            at = found.index(least)
-            symbols[at : at + 2] = [least[1]]
-            del found[at]
-            if at:
-                found[at - 1] = find(symbols[at - 1] * size + least[1], never)
-            if at < len(found):
-                found[at] = find(least[1] * size + symbols[at + 1], never)
-        return symbols
+    def _merged(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of fragments: the least rank first, the leftmost of equal ranks."""
+        short = [text for text in texts if len(text) <= _FEW]
+        found = dict(zip(short, self._merge_short(short), strict=True)) if short else {}
+        for text in texts:
+            if len(text) > _FEW:
+                symbols = self._merge_many(list(map(self.of_byte.__getitem__, text)))
+                found[text] = pack(f"<{len(symbols)}I", *symbols)
+        return list(map(found.__getitem__, texts))
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs; one beyond all ranks for those that never merge."""
+        keys = left.astype(np.int64) * self.size + right
+        at = np.searchsorted(self.merge_keys, keys)
+        return np.where(self.merge_keys[at] == keys, self.merge_ranks[at], self.never)
+
+    def _merge_short(self, texts: list[bytes]) -> list[bytes]:
+        """Fragments in step: in every round each merges one pair, until it has none left."""
+        never = self.never
+        out = [b""] * len(texts)
+        number = np.arange(len(texts))
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        symbols = np.array(self.of_byte, np.int32)[np.frombuffer(b"".join(texts), np.uint8)]
+        last = np.zeros(len(symbols), bool)
+        last[np.cumsum(sizes) - 1] = True
+        ranks = np.full(len(symbols), never, np.int32)
+        inner = np.flatnonzero(~last)
+        ranks[inner] = self._ranks(symbols[inner], symbols[inner + 1])
+        while len(number):
+            first = np.cumsum(sizes) - sizes
+            least = np.minimum.reduceat(ranks, first)
+            live = least < never
+            keep = np.ones(len(symbols), bool)
+            if not live.all():
+                keep = np.repeat(live, sizes)
+                raw, cuts = symbols[~keep].astype("<u4").tobytes(), 4 * np.cumsum(sizes[~live])
+                begin = 0
+                for i, end in zip(number[~live].tolist(), cuts.tolist(), strict=True):
+                    out[i] = raw[begin:end]
+                    begin = end
+            at = np.flatnonzero((ranks == np.repeat(least, sizes)) & keep)
+            of = np.searchsorted(first, at, "right") - 1
+            at = at[np.r_[True, of[1:] != of[:-1]][: len(of)]]  # the leftmost
+            symbols[at] = self.merge_results[ranks[at]]
+            ranks[at], last[at] = never, last[at + 1]
+            keep[at + 1] = False
+            changed = np.zeros(len(symbols), bool)
+            changed[at] = True
+            changed[at[at > first[live]] - 1] = True
+            changed &= ~last
+            number, sizes = number[live], sizes[live] - 1
+            symbols, ranks, last, changed = (side[keep] for side in (symbols, ranks, last, changed))
+            at = np.flatnonzero(changed)
+            ranks[at] = self._ranks(symbols[at], symbols[at + 1])
+        return out
 
     def _merge_many(self, symbols: list[int]) -> list[int]:
         size, find = self.size, self.merges.get
@@ -241,8 +279,8 @@ class BoundaryBpe:
             begin[inner] = True
             starts = np.flatnonzero(begin)
             fragments, place = distinct_parts(joined, starts, np.r_[starts[1:], len(joined)])
-            for fragment in self.fragments.absent(fragments):
-                self.fragments[fragment] = self._merged(fragment)
+            absent = self.fragments.absent(fragments)
+            self.fragments.update(zip(absent, self._merged(absent), strict=True))
             ids = list(map(self.fragments.__getitem__, fragments))
             found = spread(ids, place, np.searchsorted(starts, bounds))
             self.words.update(zip(new, found, strict=True))
